@@ -74,26 +74,30 @@ def is_legacy_column(qualifier: Column | str) -> Column:
     return F.contains(F.lower(as_col(qualifier)), F.lit(LEGACY_MARK))
 
 
-def _parts(qualifier: Column) -> Column:
-    return F.split(F.rtrim(qualifier, F.lit("_")), "_")
-
-
 def vendor_of(qualifier: Column | str) -> Column:
     """First underscore-separated part."""
-    return F.get(_parts(as_col(qualifier)), F.lit(0))
+    return F.substring_index(F.rtrim(as_col(qualifier), F.lit("_")), "_", 1)
 
 
 def code_of(qualifier: Column | str) -> Column:
     """Second underscore-separated part; null where only underscores follow the first."""
-    return F.get(_parts(as_col(qualifier)), F.lit(1))
+    kept = F.rtrim(as_col(qualifier), F.lit("_"))
+    return F.when(F.contains(kept, F.lit("_")), F.substring_index(F.substring_index(kept, "_", 2), "_", -1))
+
+
+def split_qualifiers(qualifiers: Column | str) -> Column:
+    """Array of ``(vendor, code)`` for an array of qualifiers."""
+    return F.transform(
+        as_col(qualifiers), lambda q: F.struct(vendor_of(q).alias("vendor"), code_of(q).alias("code"))
+    )
 
 
-def codes_by_vendor(qualifiers: Column | str) -> Column:
-    """Map from every vendor's lookup name to its codes, in the order of the given array."""
-    qualifiers = as_col(qualifiers)
+def codes_by_vendor(pairs: Column | str) -> Column:
+    """Map from every vendor's lookup name to its codes, in the order of ``split_qualifiers``."""
+    pairs = as_col(pairs)
 
     def codes(vendor: str) -> Column:
-        own = F.filter(qualifiers, lambda q: (vendor_of(q) == vendor) & code_of(q).isNotNull())
-        return F.transform(own, code_of)
+        own = F.filter(pairs, lambda p: (p["vendor"] == vendor) & p["code"].isNotNull())
+        return F.transform(own, lambda p: p["code"])
 
     return F.create_map(*[x for vendor, _, name in VENDORS for x in (F.lit(name), codes(vendor))])

@@ -55,13 +55,17 @@ def lookup_vendor_tags(
     known = qualifiers.vendor_of("qualifier").isin(*[v for v, _, _ in qualifiers.VENDORS])
     found = assemble(_cells_of(cells.where(known), requested), {"qualifiers": F.col("qualifier")}, **sizes)
     held = F.coalesce("qualifiers", F.array().cast("array<string>"))
-    return requested.join(found, "row_key", "left").select("row_key", qualifiers.codes_by_vendor(held).alias("tags"))
+    # two projections: the pairs are made once and then read by every vendor
+    pairs = requested.join(found, "row_key", "left").select(
+        "row_key", qualifiers.split_qualifiers(held).alias("pairs")
+    )
+    return pairs.select("row_key", qualifiers.codes_by_vendor("pairs").alias("tags"))
 
 
 def keys_with_tags(cells: DataFrame, tags: DataFrame) -> DataFrame:
     """Distinct keys that have any of the tags (column ``tag``, without vendor)."""
     tagged = cells.select("row_key", qualifiers.strip_vendor("qualifier").alias("tag"))
-    return tagged.join(tags.select("tag").distinct(), "tag", "left_semi").select("row_key").distinct()
+    return tagged.join(tags.select("tag"), "tag", "left_semi").select("row_key").distinct()
 
 
 def audience_filter(ids: DataFrame, cells: DataFrame, tags: DataFrame) -> DataFrame:

@@ -44,13 +44,15 @@ def legacy_key_audit(cells: DataFrame) -> DataFrame:
 
 def dirty_summary(cells: DataFrame) -> DataFrame:
     """One row: clean keys, dirty keys, dirty columns."""
-    bad = ~qualifiers.is_exportable_column("qualifier")
     key_ok = keys.key_is_wellformed("row_key")
-    per_key = latest_cells(cells).groupBy("row_key").agg(F.count_if(bad).alias("bad_columns"))
+    bad = key_ok & ~qualifiers.is_exportable_column("qualifier")
+    # good columns count as nothing, so a key mostly travels as a single row
+    found = cells.select("row_key", F.when(bad, F.col("qualifier")).alias("bad_column")).distinct()
+    per_key = found.groupBy("row_key").agg(F.count("bad_column").alias("bad_columns"))
     return per_key.agg(
         F.count_if(key_ok).alias("clean_rows"),
         F.count_if(~key_ok).alias("dirty_rowkeys"),
-        F.coalesce(F.sum(F.when(key_ok, F.col("bad_columns"))), F.lit(0)).alias("dirty_columns"),
+        F.coalesce(F.sum("bad_columns"), F.lit(0)).alias("dirty_columns"),
     )
 
 

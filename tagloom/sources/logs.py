@@ -14,23 +14,31 @@ from ..schema import LOGS
 def read_day_logs(
     spark: SparkSession,
     paths: dict[str, str],
-    start: str,
-    end: str,
+    start: str | None = None,
+    end: str | None = None,
     fmt: str = "parquet",
     schema: StructType = LOGS,
 ) -> DataFrame:
-    """Union of the logs of every kind in ``paths`` over inclusive ``yyyyMMdd`` days.
+    """Union of the logs of every kind in ``paths`` over inclusive ``yyyyMMdd`` days, all by default.
 
     The literal day bounds prune folders before any file is opened. The schema
     is explicit, since inference reads the day folders as integers. ``fmt`` may
     be ``avro`` where that package is on the classpath.
     """
+    wanted = F.lit(True)
+    if start is not None:
+        wanted = wanted & (F.col("day") >= start)
+    if end is not None:
+        wanted = wanted & (F.col("day") <= end)
     per_kind = [
-        spark.read.format(fmt)
-        .schema(schema)
-        .load(path)
-        .where(F.col("day").between(start, end))
-        .withColumn("kind", F.lit(kind))
+        spark.read.format(fmt).schema(schema).load(path).where(wanted).withColumn("kind", F.lit(kind))
         for kind, path in paths.items()
     ]
     return reduce(DataFrame.unionByName, per_kind)
+
+
+def write_day_logs(logs: DataFrame, paths: dict[str, str], fmt: str = "parquet") -> None:
+    """Write logs in the layout ``read_day_logs`` reads; a busy day is split over several files."""
+    for kind, path in paths.items():
+        rows = logs.where(F.col("kind") == kind).drop("kind").hint("rebalance", F.col("day"))
+        rows.write.format(fmt).partitionBy("day").save(path)

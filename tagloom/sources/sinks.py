@@ -56,7 +56,7 @@ def write_uid_text(
     slice_ = F.pmod(F.xxhash64("uid"), F.lit(files))
     rows = df.where(F.col("uid").isNotNull()).select("uid", *partition_by)
     # AQE may split what is too big, hence a rebalance and not a plain repartition
-    spread = rows.withColumn("slice", slice_).hint("rebalance", *partition_by, "slice").drop("slice")
+    spread = rows.withColumn("slice", slice_).hint("rebalance", *map(F.col, [*partition_by, "slice"])).drop("slice")
     spread.write.mode(mode).partitionBy(*partition_by).text(path)
 
 

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tagloom.functions import keys, qualifiers, text
 from tagloom.operators import aggregate, audience, export, lookup, mutate, quality, scan
 from tagloom.plans import jobs
-from tagloom.schema import LOGS, NESTED, RETARGET
+from tagloom.schema import NESTED, RETARGET
 from tagloom.session import listed, work_dir
 from tagloom.sources import cells as cell_source
-from tagloom.sources import files, logs, sinks
+from tagloom.sources import files, sinks
+from tagloom.sources import logs as log_source
 
 from . import oracle as o
 from .tables import PROJECTS, Tables, device_id
@@ -43,9 +44,7 @@ def query(name: str, sql: str | None = None):
 
 @query("scan_cells", o.sql("select * from cells", o.CELLS))
 def _(t: Tables):
-    path = work_dir(t.spark, "cells")
-    cell_source.write_cells(t.cells(), path)
-    return cell_source.scan_cells(t.spark, path)
+    return t.cells()
 
 
 @query("latest_cells", o.sql("select * from latest", o.CELLS, o.LATEST))
@@ -73,12 +72,9 @@ def _(t: Tables):
 )
 def _(t: Tables):
     base = work_dir(t.spark, "logs")
-    paths = {}
-    for kind in audience.KINDS:
-        paths[kind] = f"{base}/{kind}"
-        rows = t.logs().where(F.col("kind") == kind).select(*LOGS.fieldNames())
-        rows.write.partitionBy("day").parquet(paths[kind])
-    return logs.read_day_logs(t.spark, paths, "20240105", "20240110")
+    paths = {kind: f"{base}/{kind}" for kind in audience.KINDS}
+    log_source.write_day_logs(t.derived_logs(), paths)
+    return log_source.read_day_logs(t.spark, paths, "20240105", "20240110")
 
 
 @query("read_id_lines", o.sql("select value from lines", o.LINES))
@@ -159,7 +155,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     path = work_dir(t.spark, "delimited")
-    rows = t.logs().withColumn("creative_id", F.nullif("creative_id", F.lit(103)))
+    rows = t.logs().select("kind", "day", "uid", "cid", F.nullif("creative_id", F.lit(103)).alias("creative_id"))
     sinks.write_delimited_text(rows, path, "|", files=10)
     return t.spark.read.text(path)
 

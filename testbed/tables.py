@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.operators import audience, export
 from tagloom.operators.audience import Project
-from tagloom.session import apply_defaults
+from tagloom.session import apply_defaults, work_dir
+from tagloom.sources import cells as cell_source
+from tagloom.sources import logs as log_source
+
+# Where the stored datasets of each session and table folder are.
+_PATHS: dict[tuple[str, str, str], str] = {}
 
 PROJECTS = [
     Project("p1", True, False, 0, ("1", "2"), "20240105", "20240110"),
@@ -35,7 +43,37 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def _stored(self, name: str, write: Callable[[str], None], read: Callable[[str], DataFrame]) -> DataFrame:
+        """A dataset the jobs find on disk: written once per session, then read."""
+        place = (self.spark.conf.get("spark.app.id", ""), self.sf_dir, name)
+        if place in _PATHS:
+            try:
+                return read(_PATHS[place])
+            except AnalysisException:  # the work folder was cleared meanwhile
+                pass
+        path = work_dir(self.spark, name)
+        write(path)
+        _PATHS[place] = path
+        return read(path)
+
     def cells(self) -> DataFrame:
+        return self._stored(
+            "cells",
+            lambda path: cell_source.write_cells(self.derived_cells(), path),
+            lambda path: cell_source.scan_cells(self.spark, path),
+        )
+
+    def logs(self) -> DataFrame:
+        def paths(base: str) -> dict[str, str]:
+            return {kind: f"{base}/{kind}" for kind in audience.KINDS}
+
+        return self._stored(
+            "logs",
+            lambda base: log_source.write_day_logs(self.derived_logs(), paths(base)),
+            lambda base: log_source.read_day_logs(self.spark, paths(base)),
+        )
+
+    def derived_cells(self) -> DataFrame:
         event, user = F.col("event_id"), F.col("user_id")
         did = device_id(user)
         kind = F.when(user % 2 == 1, F.lit("ifa")).otherwise(F.lit("didmd5"))
@@ -61,7 +99,7 @@ class Tables:
             F.lit("1").alias("value"),
         )
 
-    def logs(self) -> DataFrame:
+    def derived_logs(self) -> DataFrame:
         event = F.col("event_id")
         did = device_id(F.col("user_id"))
         uid = F.when(event % 3 == 0, F.upper(did)).when(event % 3 == 1, F.concat(F.lit(" "), did)).otherwise(did)
