@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, qualifiers
 from ..functions.keys import key_prefix_first, key_prefix_last
+from ..session import has_more_than
 
-# Tags in one record of a device, at most, and the slices its tags meet in first.
+# Tags in one record of a device, at most, and the slices the tags of wide ones meet in.
 WIDE_ROW = 1_000_000
 SLICES = 32
 
@@ -16,6 +17,7 @@ SLICES = 32
 def assemble(
     cells: DataFrame,
     collected: dict[str, Column],
+    all_cells: DataFrame | None = None,
     wide_row: int = WIDE_ROW,
     slices: int = SLICES,
 ) -> DataFrame:
@@ -24,13 +26,24 @@ def assemble(
     ``collected`` maps a name to a text column over cells, null where the cell
     has nothing to add; a key with no text at all keeps an empty array.
 
-    The tags of a key first meet in slices, as sets, which map tasks fold
-    before the shuffle: versions of a cell vanish there and a hot key is shared
-    by many tasks. A slice with more than its share of ``wide_row`` tags stays
-    a record of its own, so no task builds an array without bound; every other
-    device has exactly one record, and the records of a wide one add up to it.
-    On cells bucketed by key neither step shuffles.
+    No key has more tags than there are qualifiers, so those are counted
+    first, no further than ``wide_row``, and from their column alone if
+    ``all_cells`` names the table before any filter. If they are no more, every
+    key has one record: tags are told apart by key and tag, which lets map
+    tasks fold versions and shares a hot key among tasks, and only then meet by
+    key.
+
+    Else the tags of a key meet in slices, and a slice with more than its share
+    of ``wide_row`` tags stays a record of its own. So no task builds an array
+    without bound: the records of a wide device add up to it, and every other
+    device still has exactly one.
+
+    On cells bucketed by key neither way shuffles.
     """
+    vocabulary = (cells if all_cells is None else all_cells).select("qualifier").distinct()
+    if not has_more_than(vocabulary, wide_row):
+        tags = cells.select("row_key", "qualifier").distinct()
+        return tags.groupBy("row_key").agg(*[F.array_sort(F.collect_list(c)).alias(n) for n, c in collected.items()])
     slice_ = F.pmod(F.xxhash64("qualifier"), F.lit(slices)).alias("slice")
     sets = cells.groupBy("row_key", slice_).agg(*[F.collect_set(c).alias(n) for n, c in collected.items()])
     held = sum((F.size(n) for n in collected), F.lit(0))
@@ -40,7 +53,8 @@ def assemble(
 
 
 def _stripped(cells: DataFrame, **sizes: int) -> DataFrame:
-    rows = assemble(cells.where(F.contains("row_key", F.lit(":"))), {"qualifiers": F.col("qualifier")}, **sizes)
+    kept = cells.where(F.contains("row_key", F.lit(":")))
+    rows = assemble(kept, {"qualifiers": F.col("qualifier")}, cells, **sizes)
     tags = F.filter(F.transform("qualifiers", qualifiers.strip_vendor), lambda t: t != "")
     return rows.select(key_prefix_last("row_key").alias("rowkey"), tags.alias("tags"))
 
@@ -66,7 +80,7 @@ def clean_export(cells: DataFrame, **sizes: int) -> DataFrame:
     Keys whose columns are all illegal stay, with empty tags.
     """
     legal = F.when(qualifiers.is_exportable_column("qualifier"), F.col("qualifier"))
-    rows = assemble(cells.where(keys.key_is_wellformed("row_key")), {"legal": legal}, **sizes)
+    rows = assemble(cells.where(keys.key_is_wellformed("row_key")), {"legal": legal}, cells, **sizes)
     device = key_prefix_first("row_key")
     return rows.select(
         keys.display_did(device, with_kind=True).alias("did"),
@@ -76,7 +90,7 @@ def clean_export(cells: DataFrame, **sizes: int) -> DataFrame:
 
 
 def _raw(cells: DataFrame, **sizes: int) -> DataFrame:
-    rows = assemble(cells.where(keys.key_is_loose_ok("row_key")), {"qualifiers": F.col("qualifier")}, **sizes)
+    rows = assemble(cells.where(keys.key_is_loose_ok("row_key")), {"qualifiers": F.col("qualifier")}, cells, **sizes)
     return rows.select(key_prefix_first("row_key").alias("device"), "qualifiers")
 
 

@@ -53,7 +53,7 @@ def lookup_vendor_tags(
     if qualifier is not None:
         cells = cells.where(F.col("qualifier") == qualifier)
     known = qualifiers.vendor_of("qualifier").isin(*[v for v, _, _ in qualifiers.VENDORS])
-    found = assemble(_cells_of(cells.where(known), requested), {"qualifiers": F.col("qualifier")}, **sizes)
+    found = assemble(_cells_of(cells.where(known), requested), {"qualifiers": F.col("qualifier")}, cells, **sizes)
     held = F.coalesce("qualifiers", F.array().cast("array<string>"))
     # two projections: the pairs are made once and then read by every vendor
     pairs = requested.join(found, "row_key", "left").select(

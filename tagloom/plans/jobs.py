@@ -50,14 +50,13 @@ def audit_lines(cells: DataFrame, check: bool = False, **sizes: int) -> DataFram
     """
     key_ok = keys.key_is_wellformed("row_key")
     legal = qualifiers.is_exportable_column("qualifier")
-    if not check:
-        cells = cells.where(key_ok)
     devices = export.assemble(
-        cells,
+        cells if check else cells.where(key_ok),
         {
             "legal": F.when(key_ok & legal, F.col("qualifier")),
             "illegal": F.when(key_ok & ~legal, F.col("qualifier")) if check else F.lit(None).cast("string"),
         },
+        cells,
         **sizes,
     )
     device = keys.key_prefix_first("row_key")

@@ -16,9 +16,6 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Exports collect tags per device; keep those small buffers in a hash map
-    # for longer before the aggregate sorts its input.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
 }
 
 
@@ -68,3 +65,8 @@ def listed(spark: SparkSession, values: list[str], column: str) -> DataFrame:
     """A one-column frame of driver-side values, broadcast only if it is short."""
     frame = spark.createDataFrame([(v,) for v in values], f"{column} string")
     return F.broadcast(frame) if len(values) <= BROADCAST_ROWS else frame
+
+
+def has_more_than(df: DataFrame, n: int) -> bool:
+    """Whether a frame has more than ``n`` rows; counts no further than that."""
+    return df.limit(n + 1).count() > n
