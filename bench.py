@@ -3,7 +3,7 @@
 Reads ``$BENCH_SF_DIR`` (default ``/root/testdata/sf0.1``) on ``local[$BENCH_CPUS]``.
 The wide table and the logs are derived and stored before the clock starts,
 as the jobs find them in practice; every query then runs to the end into a
-sink that drops its rows. Best of ``$BENCH_RUNS`` runs (default 2).
+sink that drops its rows. Best of ``$BENCH_RUNS`` runs (default 3).
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = build_session(
         "bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false"}
     )

@@ -18,13 +18,16 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Settled when a session starts: no stack walk for every column expression built.
+START_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app: str = "tagloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the library defaults; ``conf`` entries win over them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_DEFAULTS, **conf}.items():
+    for key, value in {**START_DEFAULTS, **RUNTIME_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tagloom.operators import audience, export
 from tagloom.operators.audience import Project
@@ -17,6 +18,9 @@ from tagloom.sources import logs as log_source
 # Where the stored datasets of each session and table folder are.
 _PATHS: dict[tuple[str, str, str], str] = {}
 
+# What the supplied files look like.
+_SCHEMAS: dict[str, StructType] = {}
+
 PROJECTS = [
     Project("p1", True, False, 0, ("1", "2"), "20240105", "20240110"),
     Project("p2", True, True, 1, ("103",), "20240108", "20240115"),
@@ -41,7 +45,10 @@ class Tables:
         self.sf_dir = sf_dir
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:  # reading the schema off the files is a job of its own
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def _stored(self, name: str, write: Callable[[str], None], read: Callable[[str], DataFrame]) -> DataFrame:
         """A dataset the jobs find on disk: written once per session, then read."""
