@@ -60,7 +60,7 @@ def tag_to_devices(cells: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:
     hot = settle(parts.where(F.col("parts") > 1), "hot-tags")
     part = F.pmod(F.xxhash64("rowkey"), F.coalesce("parts", F.lit(1))).cast("int")
     placed = tagged.join(hot, "tag", "left").select("tag", "rowkey", part.alias("part"))
-    return placed.groupBy("tag", "part").agg(F.array_sort(F.collect_set("rowkey")).alias("rowkeys"))
+    return placed.groupBy("tag", "part").agg(F.sort_array(F.collect_set("rowkey")).alias("rowkeys"))
 
 
 def tag_to_devices_text(cells: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:

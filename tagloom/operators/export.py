@@ -43,12 +43,12 @@ def assemble(
     vocabulary = (cells if all_cells is None else all_cells).select("qualifier").distinct()
     if not has_more_than(vocabulary, wide_row):
         tags = cells.select("row_key", "qualifier").distinct()
-        return tags.groupBy("row_key").agg(*[F.array_sort(F.collect_list(c)).alias(n) for n, c in collected.items()])
+        return tags.groupBy("row_key").agg(*[F.sort_array(F.collect_list(c)).alias(n) for n, c in collected.items()])
     slice_ = F.pmod(F.xxhash64("qualifier"), F.lit(slices)).alias("slice")
     sets = cells.groupBy("row_key", slice_).agg(*[F.collect_set(c).alias(n) for n, c in collected.items()])
     held = sum((F.size(n) for n in collected), F.lit(0))
     part = F.when(held > wide_row // slices, F.col("slice") + 1).otherwise(0)
-    merged = [F.array_sort(F.flatten(F.collect_list(n))).alias(n) for n in collected]
+    merged = [F.sort_array(F.flatten(F.collect_list(n))).alias(n) for n in collected]
     return sets.withColumn("part", part).groupBy("row_key", "part").agg(*merged).drop("part")
 
 

@@ -117,7 +117,7 @@ def _tag_file(t: Tables) -> str:
     """The most common tags as a comma list in the first line of a file."""
     path = work_dir(t.spark, "tags")
     top = aggregate.tag_reach(t.cells())
-    line = top.agg(F.array_join(F.array_sort(F.collect_list("tag")), ",").alias("value"))
+    line = top.agg(F.array_join(F.sort_array(F.collect_list("tag")), ",").alias("value"))
     line.unionAll(t.spark.createDataFrame([("a second line, not read",)], "value string")).coalesce(1).write.text(path)
     return path
 

@@ -52,12 +52,12 @@ def test_paths(one):
     assert one(keys.processed_path, "ids/x") == "ids/x"
 
 
-@pytest.mark.parametrize("q", ["kd_01", "k_d", "KD", "_ap_1", "kd", "mh_01"])
+@pytest.mark.parametrize("q", ["kd_01", "k_d", "KD", "_ap_1", "kd", "mh_01", "a\n", "12a3b_", "é_ü"])
 def test_legal_columns(one, q):
     assert one(qualifiers.is_legal_column, q) is True
 
 
-@pytest.mark.parametrize("q", ["bad_x", "x_ap_1", "k", "", "123"])
+@pytest.mark.parametrize("q", ["bad_x", "x_ap_1", "k", "", "123", "kd\n", "k_1\n2d"])
 def test_illegal_columns(one, q):
     assert one(qualifiers.is_legal_column, q) is False
 
