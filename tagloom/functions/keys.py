@@ -13,6 +13,10 @@ IOS_KIND = "ifa"
 KEY_LENGTHS = (39, 40)
 ID_LENGTHS = (32, 36)
 
+# What a path of Android ids contains, and how a result for a path ends.
+ANDROID_PATH = "and"
+PROCESSED_ENDING = "_proceed.csv"
+
 # Characters a trim removes: everything up to the blank.
 TRIMMED = "".join(map(chr, range(0x21)))
 
@@ -95,11 +99,11 @@ def os_number(device_id: Column | str) -> Column:
 
 def kind_from_path(path: Column | str) -> Column:
     """Kind of the ids in a file, told by its path."""
-    return F.when(F.contains(as_col(path), F.lit("and")), F.lit(ANDROID_KIND)).otherwise(F.lit(IOS_KIND))
+    return F.when(F.contains(as_col(path), F.lit(ANDROID_PATH)), F.lit(ANDROID_KIND)).otherwise(F.lit(IOS_KIND))
 
 
 def processed_path(path: Column | str) -> Column:
     """Name of the result for an input path: up to the first dot, then a fixed ending."""
     path = as_col(path)
-    renamed = F.concat(F.substring_index(path, ".", 1), F.lit("_proceed.csv"))
+    renamed = F.concat(F.substring_index(path, ".", 1), F.lit(PROCESSED_ENDING))
     return F.when(F.contains(path, F.lit(".")), renamed).otherwise(path)

@@ -42,6 +42,30 @@ def export_job(
     return written
 
 
+def extract_job(
+    logs: DataFrame,
+    campaigns: Sequence[audience.Project],
+    path: str,
+    fields: Sequence[str] | None = None,
+    fmt: str = "parquet",
+    delimiter: str = ",",
+    mode: str = "overwrite",
+) -> list[str]:
+    """Write the log rows of campaigns, in one folder per campaign, kind and day.
+
+    ``fmt`` is ``parquet`` or ``text``; returns the fields of a row.
+    """
+    rows = audience.campaign_extract(logs, campaigns, fields)
+    folders = ["slot", "kind", "day"]
+    if fmt == "text":
+        sinks.write_delimited_text(rows, path, delimiter, partition_by=folders, mode=mode)
+    elif fmt == "parquet":
+        sinks.sized(rows, None, folders).write.mode(mode).partitionBy(*folders).parquet(path)
+    else:
+        raise ValueError(f"unknown format {fmt!r}")
+    return [c for c in rows.columns if c not in folders]
+
+
 def audit_lines(cells: DataFrame, check: bool = False, **sizes: int) -> DataFrame:
     """``(value, output)``: clean JSON lines and, with ``check``, dirty keys and columns.
 

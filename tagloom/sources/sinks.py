@@ -11,13 +11,14 @@ from ..functions.text import join_fields
 RECORDS_PER_FILE = 100_000
 
 
-def sized(df: DataFrame, files: int | None) -> DataFrame:
+def sized(df: DataFrame, files: int | None, folders: list[str] | None = None) -> DataFrame:
     """The rows in a given number of files, or in files of Spark's advisory size.
 
     Both add a shuffle on purpose: narrowing without one would leave the whole
-    last stage with that few tasks.
+    last stage with that few tasks. With ``folders``, rows of a folder meet, so
+    not every task writes to every folder, and AQE splits what is too big.
     """
-    return df.repartition(files) if files else df.hint("rebalance")
+    return df.repartition(files) if files else df.hint("rebalance", *map(F.col, folders or []))
 
 
 def write_parquet_compact(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite") -> None:
@@ -35,7 +36,7 @@ def write_delimited_text(
     """Write all columns of a row as one line; returns the header of the lines."""
     partition_by = partition_by or []
     fields = [c for c in df.columns if c not in partition_by]
-    lines = sized(df.select(join_fields(fields, delimiter).alias("value"), *partition_by), files)
+    lines = sized(df.select(join_fields(fields, delimiter).alias("value"), *partition_by), files, partition_by)
     lines.write.mode(mode).partitionBy(*partition_by).text(path)
     return delimiter.join(fields)
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tagloom.functions import keys, qualifiers, text
 from tagloom.operators import aggregate, audience, export, lookup, mutate, quality, scan
@@ -481,22 +482,26 @@ def _(t: Tables):
     return audience.campaign_filter(t.logs(), PROJECTS).drop("slot")
 
 
+_EXTRACT = """select case project when 'p1' then 0 else 1 end as slot, kind, day, upper(trim(uid)) as device,
+ cid+creative_id as both_ids from campaign"""
+_EXTRACT_FIELDS = ["upper(trim(uid)) as device", "cid + creative_id as both_ids"]
+
+
+@query("campaign_extract", o.sql(_EXTRACT, o.LOGS, o.CAMPAIGN))
+def _(t: Tables):
+    path = work_dir(t.spark, "extract")
+    jobs.extract_job(t.logs(), PROJECTS, path, _EXTRACT_FIELDS)
+    return t.spark.read.schema("device string, both_ids bigint, slot int, kind string, day string").parquet(path)
+
+
 @query(
-    "campaign_extract",
-    o.sql(
-        "select case project when 'p1' then 0 else 1 end as slot, kind, day, upper(trim(uid)) as device, "
-        "cid+creative_id as both_ids from campaign",
-        o.LOGS,
-        o.CAMPAIGN,
-    ),
+    "campaign_extract_text",
+    o.sql(f"select slot, kind, day, device||'|'||both_ids as value from ({_EXTRACT})", o.LOGS, o.CAMPAIGN),
 )
 def _(t: Tables):
-    rows = audience.campaign_extract(
-        t.logs(), PROJECTS, ["upper(trim(uid)) as device", "cid + creative_id as both_ids"]
-    )
     path = work_dir(t.spark, "extract")
-    rows.write.partitionBy("slot", "kind", "day").parquet(path)
-    return t.spark.read.schema("device string, both_ids bigint, slot int, kind string, day string").parquet(path)
+    jobs.extract_job(t.logs(), PROJECTS, path, _EXTRACT_FIELDS, fmt="text", delimiter="|")
+    return t.spark.read.schema("value string, slot int, kind string, day string").text(path)
 
 
 @query("select_fields", o.sql("select uid, concat_ws('-', kind, day) as place, cid*2 as twice from logs", o.LOGS))
@@ -1071,6 +1076,6 @@ def _(t: Tables):
 def _(t: Tables):
     ids, log = work_dir(t.spark, "ids"), work_dir(t.spark, "log")
     sinks.write_json_lines(t.taglist().select(F.col("did").alias("device"), F.col("tags").alias("labels")), ids)
-    rows = files.read_json_ids(t.spark, ids)
+    rows = files.read_json_ids(t.spark, ids, StructType.fromDDL("device string, labels string"))
     jobs.import_job(rows, log, LATER, did="device", tags="labels")
     return mutate.current_state(mutate.read_log(t.spark, log))

@@ -146,3 +146,21 @@ def test_work_dir_is_below_the_shared_folder(spark):
     assert got != work_dir(spark, "x")
     if base:
         assert got.startswith(base)
+
+
+def test_extract_job(spark, tmp_path):
+    from tagloom.operators.audience import Project
+
+    table = spark.createDataFrame(
+        [("imp", "20240101", "u", 1, 2), ("clk", "20240101", None, 1, 2)],
+        "kind string, day string, uid string, cid bigint, creative_id bigint",
+    )
+    p = Project("p", True, True, 0, ("1",), "20240101", "20240102")
+    header = jobs.extract_job(table, [p, p], f"{tmp_path}/t", fmt="text", delimiter=";")
+    assert header == ["uid", "cid", "creative_id"]
+    got = spark.read.schema("value string, slot int, kind string, day string").text(f"{tmp_path}/t")
+    assert rows(got) == [
+        (v, slot, k, "20240101") for v, k in (("null;1;2", "clk"), ("u;1;2", "imp")) for slot in (0, 1)
+    ]
+    with pytest.raises(ValueError):
+        jobs.extract_job(table, [p], f"{tmp_path}/x", fmt="csv")
