@@ -5,7 +5,8 @@ import __spark_entry__ as e
 from .check import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = e.queries(), e.oracle_sql()
+QUERIES = {name: run for name, run in e.queries().items() if name not in e.LLM_QUERIES}
+SQL = {name: sql for name, sql in e.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
