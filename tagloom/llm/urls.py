@@ -36,14 +36,20 @@ class TreeSettings:
     reject: float = 0.5  # smoothed bad share from which a template is rejected
 
 
+def _rest(url: Column) -> Column:
+    """What follows the first ``://``; empty without one."""
+    at = F.instr(url, "://")
+    return F.coalesce(F.when(at > 0, F.substring(url, at + 3, F.length(url))), F.lit(""))
+
+
 def host_of(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, lower-cased; empty without ``://``."""
-    return ascii_lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(?:(?!://).)*+://([^/?#]*)", 1))
+    return ascii_lower(F.regexp_extract(_rest(url), "^[^/?#]*", 0))
 
 
 def path_of(url: Column) -> Column:
     """After the host up to ``?``, ``#`` or the end; empty without ``://``."""
-    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(?:(?!://).)*+://[^/?#]*([^?#]*)", 1)
+    return F.regexp_extract(_rest(url), "^[^/?#]*([^?#]*)", 1)
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> Column:
