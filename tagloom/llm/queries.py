@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, urls
+from tagloom.llm import bpe, pii, rabitq, secrets, urls
+from tagloom.llm.spans import count_of, joined
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -22,9 +23,31 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return found.select(
+        "doc_id", *[count_of(F.col("spans"), k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id", *[count_of(base, k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.nearest(table(spark, sf_dir, "embeddings"), lambda i: i % 20 == 0)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op5_pii, op8_neighbours, op9_url_filter)}
 SQL: dict[str, str] = {}
