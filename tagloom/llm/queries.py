@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, pii, rabitq, secrets, urls
+from tagloom.llm import bpe, lm, pii, rabitq, secrets, urls
 from tagloom.llm.spans import count_of, joined
 
 VOCABULARY = "word_bpe_49k.json"
@@ -49,5 +49,9 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op5_pii, op8_neighbours, op9_url_filter)}
+def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op5_pii, op8_neighbours, op9_url_filter, op10_language_model)}
 SQL: dict[str, str] = {}
