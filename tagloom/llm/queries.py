@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, lm, pii, rabitq, secrets, urls
+from tagloom.llm import bpe, lm, pii, rabitq, secrets, setsketch, urls
 from tagloom.llm.spans import count_of, joined
 
 VOCABULARY = "word_bpe_49k.json"
@@ -32,6 +32,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -53,5 +57,5 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op5_pii, op8_neighbours, op9_url_filter, op10_language_model)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op4_near_duplicates, op5_pii, op8_neighbours, op9_url_filter, op10_language_model)}
 SQL: dict[str, str] = {}
