@@ -60,7 +60,7 @@ class PiiSettings:
     trust: float = 0.8  # reliability of a labeler before any data
     prior_weight: float = 10.0  # of that belief, in spans
     context: int = 30  # characters looked at on each side
-    accept: float = 0.9  # posterior from which the classifier adds a span
+    accept: float = 0.5  # posterior from which the classifier adds a span
 
 
 def luhn(digits: Column) -> Column:
@@ -92,7 +92,7 @@ def vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
-def votes_of(kind: str, value: Column, around: Column, strict: Column) -> Column:
+def votes_of(kind: str, value: Column, around: Column, strict: Column, wide: bool) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
     n = F.length(digits)
     tests = {
@@ -106,7 +106,7 @@ def votes_of(kind: str, value: Column, around: Column, strict: Column) -> Column
     }
     check_yes, check_no, known, unknown = tests[kind]
     return F.array(
-        F.when(strict, 1).otherwise(-1),
+        F.when(strict, 1).otherwise(0 if wide else -1),
         vote(check_yes, check_no),
         vote(known, unknown),
         vote(F.rlike(around, F.lit(FOR[kind])), F.rlike(around, F.lit(AGAINST))),
@@ -140,7 +140,7 @@ def candidates_of(text: Column, settings: PiiSettings) -> Column:
             return F.struct(
                 F.lit(KINDS.index(kind)).alias("place"), s["start"].alias("start"), s["end"].alias("end"),
                 F.lit(kind).alias("kind"), base.alias("base"),
-                votes_of(kind, s["value"], F.concat(before, F.lit(" "), after), base).alias("votes"),
+                votes_of(kind, s["value"], F.concat(before, F.lit(" "), after), base, not strict).alias("votes"),
                 features_of(s["value"], before, after).alias("features"),
             )
 
@@ -246,7 +246,7 @@ def find_pii(
     found = stored(rows.select(id_col, candidates_of(F.col("text"), settings).alias("found")), "pii")
     spans = found.select(F.explode("found").alias("s")).select("s.kind", "s.votes", "s.features")
     states = reliabilities(spans, settings)
-    model = states.join(F.broadcast(classifier(spans, states)), "kind").groupBy(F.lit(1).alias("key")).agg(
+    model = states.join(F.broadcast(classifier(spans, states)), "kind").agg(
         F.map_from_entries(F.collect_list(F.struct("kind", F.struct("prior", "weights", "state")))).alias("models")
     )  # one row: a model per kind
 
@@ -261,7 +261,7 @@ def find_pii(
         score = (seen + 1 / (1 + F.exp(-bounded))) / 2
         return F.struct(s["place"], s["start"], s["end"], s["kind"], s["base"], score.alias("score"))
 
-    joined = found.withColumn("key", F.lit(1)).join(F.broadcast(model), "key", "left")
+    joined = found.withColumn("models", model.scalar())
 
     def kept(spans: Column) -> Column:
         base = F.filter(spans, lambda s: s["base"])
@@ -269,4 +269,4 @@ def find_pii(
         return F.filter(spans, lambda s: F.when(s["base"], True).when(s["score"] < settings.accept, False).otherwise(free(s)))
 
     none = F.array().cast("array<struct<place:int,start:int,end:int,kind:string,base:boolean,score:double>>")
-    return joined.select(id_col, F.when(F.size("found") > 0, F.array_distinct(let(F.transform("found", scored), kept))).otherwise(none).alias("spans"))
+    return joined.select(id_col, F.when((F.size("found") > 0) & F.col("models").isNotNull(), F.array_distinct(let(F.transform("found", scored), kept))).otherwise(none).alias("spans"))

@@ -26,8 +26,8 @@ MAX_LANES = 4096  # bound on the number of blocks a side is cut into
 @dataclass(frozen=True)
 class CodeSettings:
     k: int = 20
-    query_rows: int = 2048  # of one block of queries
-    vector_rows: int = 16384  # of one block of vectors
+    query_rows: int = 1024  # of one block of queries
+    vector_rows: int = 4096  # of one block of vectors
     epsilon: float = 1.9  # width of the error bound
     seed: int = 7
 
@@ -123,7 +123,7 @@ def nearest(
         "dims", "centre", lanes("q", s.query_rows).alias("q_lanes"), lanes("n", s.vector_rows).alias("v_lanes")
     )  # one row per vector length
     planned = lambda side: side.join(F.broadcast(plan), "dims")
-    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    place = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     queries = planned(asked).select(
         F.col("dims").alias("of_dims"), place("q_lanes").alias("of_q"),
         F.explode(F.sequence(F.lit(0), F.col("v_lanes") - 1)).alias("of_v"), F.col("id").alias("query_id"), F.col("v").alias("query"),

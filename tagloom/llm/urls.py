@@ -119,18 +119,9 @@ def _merged(general: DataFrame, s: TreeSettings) -> DataFrame:
     )
     # Priors: the same template on all hosts, behind it all labels.
     shared = branch.groupBy("template").agg(F.sum("labelled").alias("t_labelled"), F.sum("bad").alias("t_bad"))
-    overall = branch.groupBy().agg(F.sum("labelled").alias("o_labelled"), F.sum("bad").alias("o_bad"))
-    overall = overall.withColumn("key", F.lit(1))
-    prior = (
-        shared.withColumn("key", F.lit(1))
-        .join(F.broadcast(overall), "key", "left")  # one row
-        .select(
-            "template",
-            (
-                (F.col("t_bad") + s.weight * ((F.col("o_bad") + 1) / (F.col("o_labelled") + 2)))
-                / (F.col("t_labelled") + s.weight)
-            ).alias("prior"),
-        )
+    overall = branch.agg((F.sum("bad") + 1) / (F.sum("labelled") + 2)).scalar()
+    prior = shared.select(
+        "template", ((F.col("t_bad") + s.weight * overall) / (F.col("t_labelled") + s.weight)).alias("prior")
     )
     share = (F.col("bad") + s.weight * F.col("prior")) / (F.col("labelled") + s.weight)
     scored = merged.join(prior, "template", "left").select("host", "template", "labelled", "bad", "n", share.alias("share"))
