@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, lm, passages, pii, rabitq, secrets, setsketch, urls
+from tagloom.llm import bpe, lm, passages, pii, rabitq, secrets, setsketch, tiling, urls
 from tagloom.llm.spans import count_of, joined
 
 VOCABULARY = "word_bpe_49k.json"
@@ -45,6 +45,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.find_contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = passages.drop_repeated(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -62,5 +66,5 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op4_near_duplicates, op5_pii, op7_passages, op8_neighbours, op9_url_filter, op10_language_model)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op4_near_duplicates, op5_pii, op6_decontamination, op7_passages, op8_neighbours, op9_url_filter, op10_language_model)}
 SQL: dict[str, str] = {}
