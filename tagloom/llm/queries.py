@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, lm, passages, pii, rabitq, secrets, setsketch, tiling, urls
+from tagloom.llm import bpe, lm, passages, pii, rabitq, secrets, setsketch, tiling, toxicity, urls
 from tagloom.llm.spans import count_of, joined
 
 VOCABULARY = "word_bpe_49k.json"
@@ -32,6 +32,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -66,5 +70,5 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op4_near_duplicates, op5_pii, op6_decontamination, op7_passages, op8_neighbours, op9_url_filter, op10_language_model)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op3_toxicity, op4_near_duplicates, op5_pii, op6_decontamination, op7_passages, op8_neighbours, op9_url_filter, op10_language_model)}
 SQL: dict[str, str] = {}
