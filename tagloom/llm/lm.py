@@ -11,11 +11,11 @@ pairs of context words at once, and so the normalised log-probabilities.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -24,10 +24,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import LOWER, UPPER, WORD, id_and_text, remainder, stored
+from tagloom.llm.common import id_and_text, remainder, stored
+from tagloom.llm.words import WORDS, fold
 
-WORDS = re.compile(WORD)
-FOLD = str.maketrans(UPPER, LOWER)
 END = ""  # no word is empty
 COUNTED = 400_000  # distinct words a task holds before it passes counts on
 
@@ -46,7 +45,7 @@ class LmSettings:
 
 def tokens(text: str) -> list[str]:
     """Words with A-Z lower-cased, then the end."""
-    return [*WORDS.findall(text.translate(FOLD)), END]
+    return [*WORDS.findall(fold(text)), END]
 
 
 def is_held_out(id_col: Column) -> Column:
@@ -103,9 +102,7 @@ def start_params(model_classes: int, share: np.ndarray, s: LmSettings) -> dict[s
 
 def class_ids(model: Model, words: list[str]) -> np.ndarray:
     """Place of each token among the words held, the number of these for others."""
-    none = len(model.words)
-    get = model.at.get
-    return np.fromiter((get(w, none) for w in words), dtype=np.int64, count=len(words))
+    return np.fromiter(map(model.at.get, words, repeat(len(model.words))), dtype=np.int64, count=len(words))
 
 
 def contexts(ids: np.ndarray, classes: int, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -149,14 +146,20 @@ def batches_of(texts: Iterable[str], limit: int) -> Iterator[tuple[list[str], np
     """Tokens of consecutive texts, at least ``limit`` together or up to the end, and where texts end."""
     words: list[str] = []
     ends: list[int] = []
+
+    def marks() -> np.ndarray:
+        out = np.zeros(len(words), dtype=bool)
+        out[ends] = True
+        return out
+
     for text in texts:
         words += tokens(text)
         ends.append(len(words) - 1)
         if len(words) >= limit:
-            yield words, np.isin(np.arange(len(words)), ends)
+            yield words, marks()
             words, ends = [], []
     if words:
-        yield words, np.isin(np.arange(len(words)), ends)
+        yield words, marks()
 
 
 def train(docs: DataFrame, model: Model, s: LmSettings) -> dict[str, np.ndarray]:
@@ -218,12 +221,26 @@ def class_share(model: Model) -> np.ndarray:
     return share / share.sum()
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Words of the highest counts, whole steps of a logarithmic scale, at most ``most`` of them."""
+    step = F.floor(F.log2("c") * 16)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()  # one row per step of the scale
+    taken, least = 0, None
+    for r in sorted(sizes, reverse=True):
+        taken += r.n
+        if taken > most:
+            break
+        least = r.step
+    return counts.where(step >= least) if least is not None else counts.limit(0)
+
+
 def fit(docs: DataFrame, settings: LmSettings = LmSettings()) -> tuple[Model, DataFrame]:
     """Model and word counts (``word, c``) of all training texts ``docs(text)``."""
     s = settings
     counts = stored(count_words(docs), "word-counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    rows = counts.orderBy(F.desc("c"), "word").limit(s.near).collect()  # a bounded list
+    rows = frequent(counts, s.near).collect()  # at most s.near
+    rows.sort(key=lambda r: (-r[1], r[0]))
     words = [r[0] for r in rows]
     model = Model(words, np.array([r[1] for r in rows], np.int64), int(total[0]), int(total[1]), min(s.classes, len(words)), {}, "")
     model.params = start_params(model.classes, class_share(model), s)

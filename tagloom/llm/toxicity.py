@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from tagloom.llm.common import id_and_text, remainder
 from tagloom.llm.words import WORDS
 
-CACHED = 400_000
+CACHED = 250_000  # words and units of one generation
+PAIRS = 512  # hashed letter pairs
 LONGEST = 24  # letters of a unit; longer words are cut into overlapping ones
 LETTERS = re.compile(r"[^\W\d_]+")
 # Signs written for letters; fixed values.
@@ -39,6 +40,7 @@ class ToxicSettings:
     order: int = 3  # letters of a subsequence
     decay: float = 0.5  # weight of each letter a subsequence spans
     apart: float = 0.6  # landmarks are less alike than this
+    shared: float = 0.5  # of a landmark's letter pairs, within reach of a gap, that a like word has
     sentences: int = 3  # of a training row, the most suspicious ones
     rounds: int = 40
     penalty: float = 1e-4
@@ -68,6 +70,8 @@ def ends_sentence(word: str) -> bool:
 def tokens(text: str) -> list[str]:
     """Words; runs of three or more single letters are one word."""
     words = WORDS.findall(text)
+    if not any(len(w) == 1 for w in set(words)):
+        return words
     short = [i for i, w in enumerate(words) if len(w) == 1 and w.isalpha()]
     if len(short) < 3:
         return words
@@ -84,32 +88,30 @@ def tokens(text: str) -> list[str]:
     return out
 
 
-def codes(units: list[str], width: int) -> np.ndarray:
-    """Characters as numbers, -1 beyond the end."""
-    out = np.full((len(units), width), -1, dtype=np.int32)
-    for i, u in enumerate(units):
-        out[i, : len(u)] = [ord(c) for c in u]
+def codes(units: list[str], width: int, fill: int) -> np.ndarray:
+    """Characters as numbers, ``fill`` beyond the end."""
+    flat = "".join([u.ljust(width, "\0") for u in units]).encode("utf-32-le", "surrogatepass")
+    out = np.frombuffer(flat, dtype="<i4").reshape(len(units), width).copy()
+    out[out == 0] = fill
     return out
 
 
 def subsequence_kernel(a: np.ndarray, b: np.ndarray, order: int, decay: float) -> np.ndarray:
     """Gap-weighted subsequence kernel of each row of ``a`` with the same row of ``b``; rows are padded with -1 and -2."""
     n, wide = len(a), b.shape[1]
+    # Sums over all earlier places of b, each place further back weighing less, as a product with this matrix.
+    back = np.arange(wide + 1)[None, :] - np.arange(wide)[:, None] - 1
+    fade = np.where(back >= 0, np.float32(decay) ** np.maximum(back, 0), 0).astype(np.float32)
     # before[i][:, t]: weight of common subsequences of i letters in what was read of a and b[:t].
     before = [np.ones((n, wide + 1), dtype=np.float32)] + [np.zeros((n, wide + 1), dtype=np.float32) for _ in range(order - 1)]
     total = np.zeros(n, dtype=np.float32)
     square = np.float32(decay * decay)
     for s in range(a.shape[1]):
-        same = (a[:, s : s + 1] == b).astype(np.float32) * square
-        total += (same * before[order - 1][:, :-1]).sum(axis=1)
-        after = [before[0]]
-        for i in range(1, order):
-            fresh = same * before[i - 1][:, :-1]
-            run = np.zeros((n, wide + 1), dtype=np.float32)
-            for t in range(wide):
-                run[:, t + 1] = decay * run[:, t] + fresh[:, t]
-            after.append(decay * before[i] + run)
-        before = after
+        same = (a[:, s : s + 1] == b) * square
+        total += np.einsum("nt,nt->n", same, before[order - 1][:, :-1])
+        for i in range(order - 1, 0, -1):  # downwards: each still needs the shorter ones as they were
+            before[i] *= np.float32(decay)
+            before[i] += (same * before[i - 1][:, :-1]) @ fade
     return total
 
 
@@ -121,25 +123,21 @@ def kernel_of(a: list[str], b: list[str], s: ToxicSettings) -> np.ndarray:
         rows = np.flatnonzero((length <= width) & (length > {10: 0, 14: 10, 18: 14}.get(width, 18)))
         for lo in range(0, len(rows), 8192):
             part = rows[lo : lo + 8192]
-            left, right = codes([a[i] for i in part], width), codes([b[i] for i in part], width)
-            right[right < 0] = -2
+            left, right = codes([a[i] for i in part], width, -1), codes([b[i] for i in part], width, -2)
             out[part] = subsequence_kernel(left, right, s.order, s.decay)
     return out
 
 
-def pair_bits(units: list[str], reach: int) -> np.ndarray:
-    """Sets of 1,024 hashed letter pairs up to ``reach`` apart, as bits."""
-    c = codes(units, LONGEST).astype(np.int64)
-    out = np.zeros((len(units), 1024), dtype=bool)
+def letter_pairs(units: list[str], reach: int) -> np.ndarray:
+    """Which hashed letter pairs, up to ``reach`` apart, each unit has."""
+    c = codes(units, LONGEST, -1).astype(np.int64)
+    out = np.zeros((len(units), PAIRS), dtype=np.float32)
     rows = np.arange(len(units))
     for gap in range(1, reach + 1):
         for i in range(LONGEST - gap):
-            has = (c[:, i] >= 0) & (c[:, i + gap] >= 0)
-            out[rows[has], (c[has, i] * 31 + c[has, i + gap]) & 1023] = True
-    return np.packbits(out, axis=1)
-
-
-POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
+            has = c[:, i + gap] >= 0
+            out[rows[has], (c[has, i] * 31 + c[has, i + gap]) % PAIRS] = 1
+    return out
 
 
 class Landmarks:
@@ -148,60 +146,78 @@ class Landmarks:
     def __init__(self, words: list[str], s: ToxicSettings):
         self.words, self.s = words, s
         self.own = np.sqrt(kernel_of(words, words, s))
-        self.bits = pair_bits(words, 1)
-        self.least = np.maximum(2, 0.35 * POPCOUNT[self.bits].sum(axis=1))
+        self.pairs = letter_pairs(words, 1)
+        self.least = np.maximum(2, s.shared * self.pairs.sum(axis=1))
 
     def similar(self, units: list[str]) -> np.ndarray:
         out = np.zeros((len(units), len(self.words)), dtype=np.float32)
         for lo in range(0, len(units), 4096):
             part = units[lo : lo + 4096]
-            bits = pair_bits(part, 3)
-            for m in range(len(self.words)):
-                near = np.flatnonzero(POPCOUNT[bits & self.bits[m]].sum(axis=1) >= self.least[m])
-                if len(near):
-                    out[lo + near, m] = kernel_of([part[i] for i in near], [self.words[m]] * len(near), self.s)
-            some = np.flatnonzero(out[lo : lo + len(part)].any(axis=1))
-            if len(some):
+            row, m = np.nonzero(letter_pairs(part, 3) @ self.pairs.T >= self.least)
+            if len(row):
+                value = kernel_of([part[i] for i in row], [self.words[j] for j in m], self.s)
+                some, at = np.unique(row, return_inverse=True)
                 chosen = [part[i] for i in some]
-                out[lo + some] /= np.sqrt(kernel_of(chosen, chosen, self.s))[:, None] * self.own[None, :]
+                out[lo + row, m] = value / np.sqrt(kernel_of(chosen, chosen, self.s))[at] / self.own[m]
         return out
 
 
+class Recent:
+    """A map of bounded size: what was not asked for during a whole generation is forgotten."""
+
+    def __init__(self) -> None:
+        self.now: dict[str, int] = {}
+        self.past: dict[str, int] = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Keys without a value; the others are kept for another generation."""
+        absent = keys - self.now.keys()
+        known = absent & self.past.keys()
+        self.now.update((k, self.past[k]) for k in known)
+        return list(absent - known)
+
+
 class Reader:
-    """Similarities of sentences to landmarks, with a bounded cache of words."""
+    """Similarities of sentences to landmarks; words and units of late are remembered."""
 
     def __init__(self, landmarks: Landmarks):
         self.landmarks = landmarks
-        self.clear()
-
-    def clear(self) -> None:
-        self.cache: dict[str, int] = {}  # twice the row of similarities (0: unlike all), plus 1 at the end of a sentence
-        self.rows = np.zeros((1, len(self.landmarks.words)), dtype=np.float32)
+        self.units, self.words = Recent(), Recent()  # of words: twice the row of the best unit, plus 1 at a sentence's end
+        self.rows = np.zeros((1, len(landmarks.words)), dtype=np.float32)  # the first row: unlike all
+
+    def age(self) -> None:
+        """Start a new generation, with the rows that are still in use."""
+        for kept in (self.units, self.words):
+            kept.now, kept.past = {}, kept.now
+        used = sorted({0, *self.units.past.values(), *(v >> 1 for v in self.words.past.values())})
+        place = {old: new for new, old in enumerate(used)}
+        self.units.past = {k: place[v] for k, v in self.units.past.items()}
+        self.words.past = {k: 2 * place[v >> 1] + (v & 1) for k, v in self.words.past.items()}
+        self.rows = self.rows[used]
 
     def learn(self, words: set[str]) -> None:
-        new = list(words - self.cache.keys())
-        if len(self.cache) + len(new) > CACHED:
-            self.clear()
-            new = list(words)
+        if len(self.words.now) > CACHED or len(self.units.now) > CACHED:
+            self.age()
+        new = self.words.missing(words)
         units = [units_of(w) for w in new]
-        distinct = list({u for us in units for u in us})
-        rows = self.landmarks.similar(distinct) if distinct else np.zeros((0, self.rows.shape[1]), np.float32)
-        place = {u: i for i, u in enumerate(distinct)}
-        fresh, at = [], len(self.rows)
+        fresh = self.units.missing({u for us in units for u in us})
+        rows = self.landmarks.similar(fresh)
+        near = np.flatnonzero(rows.any(axis=1))
+        self.units.now.update(dict.fromkeys(fresh, 0) | {fresh[i]: len(self.rows) + n for n, i in enumerate(near.tolist())})
+        self.rows = np.concatenate([self.rows, rows[near]])
+        long: list[np.ndarray] = []
         for w, us in zip(new, units, strict=True):
-            code = 0
-            if us:
-                row = rows[place[us[0]]] if len(us) == 1 else rows[[place[u] for u in us]].max(axis=0)
-                if row.any():
-                    fresh.append(row)
-                    code, at = at, at + 1
-            self.cache[w] = 2 * code + ends_sentence(w)
-        if fresh:
-            self.rows = np.concatenate([self.rows, np.stack(fresh)])
+            own = [r for u in us if (r := self.units.now[u])]
+            if len(own) > 1:  # a long word of several units has a row of its own
+                long.append(self.rows[own].max(axis=0))
+                own = [len(self.rows) + len(long) - 1]
+            self.words.now[w] = 2 * (own[0] if own else 0) + ends_sentence(w)
+        if long:
+            self.rows = np.concatenate([self.rows, np.stack(long)])
 
     def sentences(self, words: list[str]) -> np.ndarray:
         """Similarities of each sentence that is like any landmark at all."""
-        code = np.fromiter(map(self.cache.__getitem__, words), dtype=np.int64, count=len(words))
+        code = np.fromiter(map(self.words.now.__getitem__, words), dtype=np.int64, count=len(words))
         near = np.flatnonzero(code > 1)
         if not len(near):
             return self.rows[:0]

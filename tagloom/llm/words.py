@@ -7,14 +7,19 @@ import re
 import numpy as np
 import xxhash
 
-from tagloom.llm.common import LOWER, UPPER, WORD
+from tagloom.llm.common import WORD
 
 WORDS = re.compile(WORD)
-FOLD = str.maketrans(UPPER, LOWER)
+UPPERS = re.compile("[A-Z]+")
 BASE = 0x9E3779B97F4A7C15  # odd, so that powers of it keep all bits
 CACHED = 400_000
 
 
+def fold(text: str) -> str:
+    """A-Z lower-cased, everything else as it is."""
+    return text.lower() if text.isascii() else UPPERS.sub(lambda m: m[0].lower(), text)
+
+
 class WordHasher:
     """64-bit hash of each word; hashes of words seen are kept in a bounded cache."""
 
@@ -23,7 +28,7 @@ class WordHasher:
         self.cache: dict[str, int] = {}
 
     def words(self, text: str) -> list[str]:
-        return WORDS.findall(text.translate(FOLD) if self.fold else text)
+        return WORDS.findall(fold(text) if self.fold else text)
 
     def hashes(self, words: list[str]) -> np.ndarray:
         cache = self.cache
