@@ -171,10 +171,9 @@ class Recent:
 
     def missing(self, keys: set[str]) -> list[str]:
         """Keys without a value; the others are kept for another generation."""
-        absent = keys - self.now.keys()
-        known = absent & self.past.keys()
-        self.now.update((k, self.past[k]) for k in known)
-        return list(absent - known)
+        absent = [k for k in keys if k not in self.now]
+        self.now.update((k, self.past[k]) for k in absent if k in self.past)
+        return [k for k in absent if k not in self.now]
 
 
 class Reader:

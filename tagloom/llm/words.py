@@ -34,7 +34,7 @@ class WordHasher:
         cache = self.cache
         if len(cache) > CACHED:
             cache.clear()
-        for w in set(words) - cache.keys():
+        for w in {w for w in set(words) if w not in cache}:
             cache[w] = xxhash.xxh3_64_intdigest(w)
         return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
 
