@@ -41,6 +41,7 @@ class ToxicSettings:
     decay: float = 0.5  # weight of each letter a subsequence spans
     apart: float = 0.6  # landmarks are less alike than this
     shared: float = 0.5  # of a landmark's letter pairs, within reach of a gap, that a like word has
+    chance: float = 2e-3  # that a landmark's rows are toxic by chance, at most
     sentences: int = 3  # of a training row, the most suspicious ones
     rounds: int = 40
     penalty: float = 1e-4
@@ -272,7 +273,8 @@ def unit_counts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def choose_landmarks(rows: DataFrame, s: ToxicSettings) -> list[str]:
+def choose_landmarks(rows: DataFrame, s: ToxicSettings) -> tuple[list[str], int]:
+    """Landmarks, toxic ones first, and how many of them are."""
     counts = unit_counts(rows)
     odds = (F.col("toxic") + 0.1) / (F.col("ordinary") + 1) * F.log1p("toxic")
     toxic = counts.where("toxic > 1").orderBy(F.desc(odds), "unit").limit(s.candidates).collect()
@@ -281,11 +283,19 @@ def choose_landmarks(rows: DataFrame, s: ToxicSettings) -> list[str]:
     for r in toxic:
         if len(chosen) < s.landmarks and (not chosen or Landmarks(chosen, s).similar([r.unit]).max() < s.apart):
             chosen.append(r.unit)
+    toxic_ones = len(chosen)
     if chosen and plain:
         near = Landmarks(chosen, s).similar([r.unit for r in plain]).max(axis=1)
         order = sorted(range(len(plain)), key=lambda i: (-near[i], plain[i].unit))
         chosen += [plain[i].unit for i in order[: s.ordinary]]
-    return chosen
+    return chosen, toxic_ones
+
+
+def tells(similarity: np.ndarray, y: np.ndarray, s: ToxicSettings) -> bool:
+    """Whether words like a landmark are rare in ordinary rows and too frequent in toxic ones to be chance."""
+    like = similarity >= s.apart
+    toxic, ordinary = (like & (y > 0)).sum(), (like & (y <= 0)).sum()
+    return toxic >= 4 * ordinary and np.mean(y > 0) ** toxic <= s.chance
 
 
 def nystroem(words: list[str], s: ToxicSettings) -> np.ndarray:
@@ -337,13 +347,12 @@ def fit(rows: DataFrame, settings: ToxicSettings = ToxicSettings()) -> Model | N
     rows of both labels or without landmarks.
     """
     s = settings
-    words = choose_landmarks(rows, s)
+    words, toxic = choose_landmarks(rows, s)
     if not words:
         return None
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Landmarks(words, s))
-        toxic = min(s.landmarks, len(words))
         for batch in batches:
             out = []
             for x in reader.read(batch.column(1).to_pylist()):
@@ -357,6 +366,10 @@ def fit(rows: DataFrame, settings: ToxicSettings = ToxicSettings()) -> Model | N
     y = np.array([1 if r.y == 1 else -1 for r in found])
     if len(set(y.tolist())) < 2:
         return None
+    keep = [i for i in range(len(words)) if i >= toxic or tells(np.array([e[:, i].max(initial=0) for e in each]), y, s)]
+    if not any(i < toxic for i in keep):
+        return None
+    words, each = [words[i] for i in keep], [e[:, keep] for e in each]
     space = nystroem(words, s)
     none = np.zeros((1, len(words)))
     each = [x if len(x) else none for x in each]
