@@ -12,6 +12,7 @@ ANDROID_KIND = "didmd5"
 IOS_KIND = "ifa"
 KEY_LENGTHS = (39, 40)
 ID_LENGTHS = (32, 36)
+OS_NUMBERS = ("0", "1")
 
 # What a path of Android ids contains, and how a result for a path ends.
 ANDROID_PATH = "and"

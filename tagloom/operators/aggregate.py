@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import keys, qualifiers
-from ..session import settle
 from .scan import flat_tags
 
-# Devices in one record of an inverted index, about; rows of a reach report.
-LIST_SIZE = 500_000
+# Rows of a reach report.
 TOP_TAGS = 200
 
 
@@ -45,24 +43,19 @@ def tag_index(cells: DataFrame) -> DataFrame:
     return _tagged(cells).distinct()
 
 
-def tag_to_devices(cells: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:
+def tag_to_devices(cells: DataFrame, parts: int = 1) -> DataFrame:
     """``(tag, part, rowkeys)``: the index as sorted arrays.
 
-    A tag has one part per ``list_size`` of its cells, and a device goes to a
-    part by its hash. Rare tags have the single part 0; the parts of a hot one
-    are disjoint and together whole, and no task collects more than about
-    ``list_size``. The tags with several parts are counted first, from keys and
-    qualifiers alone, and written down: at most one per ``list_size`` cells, so
-    Spark sees their size and normally need not move the cells to join them.
+    Every tag has up to ``parts`` records; a device goes to a part by a hash of
+    its key, whatever the tag. The parts of a tag are disjoint and together
+    whole. Name as many parts as keep the devices of the most common tag within
+    a record, or take the flat ``tag_index``.
     """
-    tagged = _tagged(cells)
-    parts = tagged.groupBy("tag").agg(F.ceil(F.count("*") / F.lit(list_size)).alias("parts"))
-    hot = settle(parts.where(F.col("parts") > 1), "hot-tags")
-    part = F.pmod(F.xxhash64("rowkey"), F.coalesce("parts", F.lit(1))).cast("int")
-    placed = tagged.join(hot, "tag", "left").select("tag", "rowkey", part.alias("part"))
-    return placed.groupBy("tag", "part").agg(F.sort_array(F.collect_set("rowkey")).alias("rowkeys"))
+    hashed = F.conv(F.substring(F.md5("rowkey"), 1, 8), 16, 10).cast("bigint")
+    placed = tag_index(cells).select("tag", "rowkey", (hashed % parts).cast("int").alias("part"))
+    return placed.groupBy("tag", "part").agg(F.sort_array(F.collect_list("rowkey")).alias("rowkeys"))
 
 
-def tag_to_devices_text(cells: DataFrame, list_size: int = LIST_SIZE) -> DataFrame:
+def tag_to_devices_text(cells: DataFrame, parts: int = 1) -> DataFrame:
     """``tag_to_devices`` with the devices joined by commas."""
-    return tag_to_devices(cells, list_size).withColumn("rowkeys", F.array_join("rowkeys", ","))
+    return tag_to_devices(cells, parts).withColumn("rowkeys", F.array_join("rowkeys", ","))

@@ -17,7 +17,10 @@ from ..session import BROADCAST_ROWS
 ID_COLUMNS = ("cid", "creative_id")
 KINDS = ("imp", "clk")
 
-# Ids that may become a literal scan filter.
+# Names of the folders of an extract.
+FOLDERS = ("campaign", "log_kind", "log_day")
+
+# Ids that may become a literal scan filter; a limit of the plan only, the join decides on the rows.
 FILTER_IDS = 1_000
 
 
@@ -117,10 +120,13 @@ def campaign_filter(logs: DataFrame, projects: Sequence[Project]) -> DataFrame:
 def campaign_extract(
     logs: DataFrame, campaigns: Sequence[Project], fields: Sequence[str] | None = None
 ) -> DataFrame:
-    """``campaign_filter`` with chosen fields, plus ``slot``, ``kind`` and ``day`` to write folders by."""
+    """``campaign_filter`` with chosen fields, all columns by default, plus ``FOLDERS`` to write by."""
     rows = campaign_filter(logs, campaigns)
-    keep = ["slot", "kind", "day"]
-    return select_fields(rows, [*fields, *keep]) if fields else rows.select(*keep, *[c for c in logs.columns if c not in keep])
+    places = [f"{source} as {name}" for source, name in zip(("project", "kind", "day"), FOLDERS, strict=True)]
+    chosen = select_fields(rows, [*(fields or [f"`{c}`" for c in logs.columns]), *places])
+    if len(set(chosen.columns)) < len(chosen.columns):
+        raise ValueError(f"fields need names of their own, other than {FOLDERS}")
+    return chosen
 
 
 def select_fields(df: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:

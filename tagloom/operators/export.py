@@ -7,66 +7,39 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, qualifiers
 from ..functions.keys import key_prefix_first, key_prefix_last
-from ..session import has_more_than
 
-# Tags in one record of a device, at most, and the slices the tags of wide ones meet in.
-WIDE_ROW = 1_000_000
-SLICES = 32
 
-
-def assemble(
-    cells: DataFrame,
-    collected: dict[str, Column],
-    all_cells: DataFrame | None = None,
-    wide_row: int = WIDE_ROW,
-    slices: int = SLICES,
-) -> DataFrame:
+def assemble(cells: DataFrame, collected: dict[str, Column]) -> DataFrame:
     """Sorted arrays of qualifiers per key, one per entry of ``collected``.
 
     ``collected`` maps a name to a text column over cells, null where the cell
-    has nothing to add; a key with no text at all keeps an empty array.
+    has nothing to add; a key with no text at all keeps an empty array. Every
+    key has exactly one record, as long as its own distinct tags; who cannot
+    hold such a record takes the flat tags.
 
-    No key has more tags than there are qualifiers, so those are counted
-    first, no further than ``wide_row``, and from their column alone if
-    ``all_cells`` names the table before any filter. If they are no more, every
-    key has one record: tags are told apart by key and tag, which lets map
-    tasks fold versions and shares a hot key among tasks, and only then meet by
-    key.
+    Tags are told apart by key and tag first, which lets map tasks fold
+    versions and shares a hot key among tasks, and only then meet by key. On
+    cells bucketed by key nothing is shuffled.
+    """
+    tags = cells.select("row_key", "qualifier").distinct()
+    return tags.groupBy("row_key").agg(*[F.sort_array(F.collect_list(c)).alias(n) for n, c in collected.items()])
 
-    Else the tags of a key meet in slices, and a slice with more than its share
-    of ``wide_row`` tags stays a record of its own. So no task builds an array
-    without bound: the records of a wide device add up to it, and every other
-    device still has exactly one.
 
-    On cells bucketed by key neither way shuffles.
-    """
-    vocabulary = (cells if all_cells is None else all_cells).select("qualifier").distinct()
-    if not has_more_than(vocabulary, wide_row):
-        tags = cells.select("row_key", "qualifier").distinct()
-        return tags.groupBy("row_key").agg(*[F.sort_array(F.collect_list(c)).alias(n) for n, c in collected.items()])
-    slice_ = F.pmod(F.xxhash64("qualifier"), F.lit(slices)).alias("slice")
-    sets = cells.groupBy("row_key", slice_).agg(*[F.collect_set(c).alias(n) for n, c in collected.items()])
-    held = sum((F.size(n) for n in collected), F.lit(0))
-    part = F.when(held > wide_row // slices, F.col("slice") + 1).otherwise(0)
-    merged = [F.sort_array(F.flatten(F.collect_list(n))).alias(n) for n in collected]
-    return sets.withColumn("part", part).groupBy("row_key", "part").agg(*merged).drop("part")
-
-
-def _stripped(cells: DataFrame, **sizes: int) -> DataFrame:
+def _stripped(cells: DataFrame) -> DataFrame:
     kept = cells.where(F.contains("row_key", F.lit(":")))
-    rows = assemble(kept, {"qualifiers": F.col("qualifier")}, cells, **sizes)
+    rows = assemble(kept, {"qualifiers": F.col("qualifier")})
     tags = F.filter(F.transform("qualifiers", qualifiers.strip_vendor), lambda t: t != "")
     return rows.select(key_prefix_last("row_key").alias("rowkey"), tags.alias("tags"))
 
 
-def tags_as_string(cells: DataFrame, **sizes: int) -> DataFrame:
+def tags_as_string(cells: DataFrame) -> DataFrame:
     """``(rowkey, "t1,t2,...")`` without vendors, in qualifier order."""
-    return _stripped(cells, **sizes).withColumn("tags", F.array_join("tags", ","))
+    return _stripped(cells).withColumn("tags", F.array_join("tags", ","))
 
 
-def tags_as_array(cells: DataFrame, **sizes: int) -> DataFrame:
+def tags_as_array(cells: DataFrame) -> DataFrame:
     """``(rowkey, [t1, t2, ...])`` without vendors, in qualifier order."""
-    return _stripped(cells, **sizes)
+    return _stripped(cells)
 
 
 def recoded(array: Column | str) -> Column:
@@ -74,13 +47,13 @@ def recoded(array: Column | str) -> Column:
     return F.array_join(F.transform(array, qualifiers.recode_qualifier), ",")
 
 
-def clean_export(cells: DataFrame, **sizes: int) -> DataFrame:
+def clean_export(cells: DataFrame) -> DataFrame:
     """``(did, tags, os)`` of well-formed keys, with their legal columns recoded.
 
     Keys whose columns are all illegal stay, with empty tags.
     """
     legal = F.when(qualifiers.is_exportable_column("qualifier"), F.col("qualifier"))
-    rows = assemble(cells.where(keys.key_is_wellformed("row_key")), {"legal": legal}, cells, **sizes)
+    rows = assemble(cells.where(keys.key_is_wellformed("row_key")), {"legal": legal})
     device = key_prefix_first("row_key")
     return rows.select(
         keys.display_did(device, with_kind=True).alias("did"),
@@ -89,19 +62,19 @@ def clean_export(cells: DataFrame, **sizes: int) -> DataFrame:
     )
 
 
-def _raw(cells: DataFrame, **sizes: int) -> DataFrame:
-    rows = assemble(cells.where(keys.key_is_loose_ok("row_key")), {"qualifiers": F.col("qualifier")}, cells, **sizes)
+def _raw(cells: DataFrame) -> DataFrame:
+    rows = assemble(cells.where(keys.key_is_loose_ok("row_key")), {"qualifiers": F.col("qualifier")})
     return rows.select(key_prefix_first("row_key").alias("device"), "qualifiers")
 
 
-def export_string(cells: DataFrame, **sizes: int) -> DataFrame:
+def export_string(cells: DataFrame) -> DataFrame:
     """``(rowkey, value)`` with raw qualifiers joined by commas, ready for JSON lines."""
-    return _raw(cells, **sizes).select(F.col("device").alias("rowkey"), F.array_join("qualifiers", ",").alias("value"))
+    return _raw(cells).select(F.col("device").alias("rowkey"), F.array_join("qualifiers", ",").alias("value"))
 
 
-def export_array(cells: DataFrame, plain: bool = False, **sizes: int) -> DataFrame:
+def export_array(cells: DataFrame, plain: bool = False) -> DataFrame:
     """``(did, tags, os)`` with raw qualifiers as an array; ``plain`` keeps the id as stored, without os."""
-    rows = _raw(cells, **sizes)
+    rows = _raw(cells)
     if plain:
         return rows.select(F.col("device").alias("did"), F.col("qualifiers").alias("tags"))
     return rows.select(

@@ -41,9 +41,7 @@ def _with_key_bytes(cells: DataFrame) -> DataFrame:
     return cells.withColumn("key_bytes", F.octet_length("row_key"))
 
 
-def lookup_vendor_tags(
-    cells: DataFrame, requested: DataFrame, qualifier: str | None = None, **sizes: int
-) -> DataFrame:
+def lookup_vendor_tags(cells: DataFrame, requested: DataFrame, qualifier: str | None = None) -> DataFrame:
     """``(row_key, tags)`` per distinct requested key, ``tags`` mapping every vendor to its codes.
 
     Unknown vendors are left out, and a key that is not there gets empty lists.
@@ -53,7 +51,8 @@ def lookup_vendor_tags(
     if qualifier is not None:
         cells = cells.where(F.col("qualifier") == qualifier)
     known = qualifiers.vendor_of("qualifier").isin(*[v for v, _, _ in qualifiers.VENDORS])
-    found = assemble(_cells_of(cells.where(known), requested), {"qualifiers": F.col("qualifier")}, cells, **sizes)
+    asked = cells.where(known).join(requested, "row_key", "left_semi")
+    found = assemble(asked, {"qualifiers": F.col("qualifier")})
     held = F.coalesce("qualifiers", F.array().cast("array<string>"))
     # two projections: the pairs are made once and then read by every vendor
     pairs = requested.join(found, "row_key", "left").select(

@@ -22,11 +22,15 @@ from ..functions import keys
 from ..functions.text import split_tag_list
 from ..schema import CELL_ID, CELLS, FAMILY, MUTATIONS, PRESENT
 
+# Where a compacted log keeps the list of files it was made from; readers of the log skip it.
+SNAPSHOT = "_snapshot"
+
 PUT, DELETE_ROW, DELETE_COLUMN, DELETE_VERSION = "put", "delete_row", "delete_column", "delete_version"
 
 
 def _mutations(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MUTATIONS.fields])
+    known = {f.name: F.col(f.name) if f.name in df.columns else F.lit(None) for f in MUTATIONS.fields}
+    return df.select(*[known[f.name].cast(f.dataType).alias(f.name) for f in MUTATIONS.fields])
 
 
 def puts_of(cells: DataFrame) -> DataFrame:
@@ -37,7 +41,7 @@ def puts_of(cells: DataFrame) -> DataFrame:
 def put_cell(
     spark: SparkSession, row_key: str, qualifier: str, at_ms: int, family: str = FAMILY, value: str = PRESENT
 ) -> DataFrame:
-    return spark.createDataFrame([(PUT, row_key, family, qualifier, at_ms, value)], MUTATIONS)
+    return spark.createDataFrame([(PUT, row_key, family, qualifier, at_ms, value, None)], MUTATIONS)
 
 
 def retarget_puts(devices: DataFrame, tag: str, at_ms: int) -> DataFrame:
@@ -89,16 +93,20 @@ def delete_column(
 ) -> DataFrame:
     """Deletes of one column for a list of ids (column ``id``).
 
-    ``latest`` hides the newest version that ``log`` shows now, so the one
-    before it comes back; ``all`` hides every version up to ``at_ms``.
+    ``latest`` hides the newest version up to ``at_ms``, so the one before it
+    comes back; ``all`` hides every version up to ``at_ms``. The same call over
+    a log that has its deletes already picks the same versions again, as the
+    deletes carry ``at_ms``; later puts are left alone.
     """
     targets = ids.select(keys.build_key_by_hyphen("id").alias("row_key")).distinct()
     if mode == "all":
         marked = targets.select("row_key", F.lit(at_ms).alias("ts")).withColumn("op", F.lit(DELETE_COLUMN))
     elif mode == "latest":
         concerned = (F.col("op") == DELETE_ROW) | ((F.col("family") == family) & (F.col("qualifier") == column))
-        shown = current_state(log.where(concerned).join(targets, "row_key", "left_semi"))
-        marked = shown.select("row_key", "ts").withColumn("op", F.lit(DELETE_VERSION))
+        own = (F.col("op") == DELETE_VERSION) & F.col("marked_at").eqNullSafe(F.lit(at_ms))
+        late = (F.col("op") == PUT) & (F.col("ts") > at_ms)
+        shown = current_state(log.where(concerned & ~own & ~late).join(targets, "row_key", "left_semi"))
+        marked = shown.select("row_key", "ts").withColumns({"op": F.lit(DELETE_VERSION), "marked_at": F.lit(at_ms)})
     else:
         raise ValueError(f"unknown mode {mode!r}")
     return _mutations(
@@ -184,12 +192,30 @@ def upsert_cells(mutations: DataFrame, path: str) -> None:
     mutations.write.mode("append").partitionBy("op").parquet(path)
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MUTATIONS).parquet(path).select(*MUTATIONS.fieldNames())
+def read_log(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
+    """A log, or only some of its files."""
+    read = spark.read.schema(MUTATIONS).option("basePath", path)
+    return read.parquet(*(files or [path])).select(*MUTATIONS.fieldNames())
 
 
 def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Write the visible versions of a log as a new log; the old one stays for its readers."""
+    """Write the visible versions of a log as a new log; the old one stays for its readers.
+
+    The files that made it are listed below the target first. Batches that
+    come to the old log later are not among them, and ``read_compacted`` folds
+    them in.
+    """
     if path.rstrip("/") == target.rstrip("/"):
         raise ValueError("compact into a new folder, not into the log being read")
-    puts_of(visible_versions(read_log(spark, path))).write.mode("errorifexists").partitionBy("op").parquet(target)
+    files = sorted(read_log(spark, path).inputFiles())
+    spark.createDataFrame([(f,) for f in files], "value string").write.mode("errorifexists").text(f"{target}/{SNAPSHOT}")
+    visible = puts_of(visible_versions(read_log(spark, path, files)))
+    visible.write.mode("append").partitionBy("op").parquet(target)
+
+
+def read_compacted(spark: SparkSession, target: str, path: str) -> DataFrame:
+    """A compacted log, with the batches that came to the old log at ``path`` after its snapshot."""
+    known = {r.value for r in spark.read.text(f"{target}/{SNAPSHOT}").collect()}  # names of files
+    late = sorted(set(read_log(spark, path).inputFiles()) - known)
+    log = read_log(spark, target)
+    return log.unionByName(read_log(spark, path, late)) if late else log

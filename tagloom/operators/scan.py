@@ -55,10 +55,13 @@ def prefix_scan_keys(cells: DataFrame, prefix: str) -> DataFrame:
     return hits.select("row_key").distinct().select(keys.key_prefix_first("row_key").alias("rowkey"))
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, key: list[str], seed: int = 0) -> DataFrame:
+    """Rows whose hash of seed and key falls below the fraction: the same ones however the input is split."""
+    text_key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    place = F.conv(F.substring(F.md5(text_key), 1, 8), 16, 10).cast("bigint")
+    return df.where(place < int(fraction * 2**32))
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
-    """The first rows by all columns."""
-    return df.orderBy(*df.columns).limit(n)
+    """The first rows of a frame, in its own order."""
+    return df.limit(n)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys, qualifiers, text
 from ..operators import audience, export, lookup, mutate, scan
 from ..operators.aggregate import count_by_os
+from ..session import settle
 from ..sources import files, sinks
 
 AUDIT_MODES = ("json", "timestamp", "prefix", "clean", "delete", "audience")
@@ -53,10 +54,12 @@ def extract_job(
 ) -> list[str]:
     """Write the log rows of campaigns, in one folder per campaign, kind and day.
 
+    The folders are named by ``audience.FOLDERS``, so rows may well have fields
+    of their own called day or kind. Campaigns of one name share a folder.
     ``fmt`` is ``parquet`` or ``text``; returns the fields of a row.
     """
     rows = audience.campaign_extract(logs, campaigns, fields)
-    folders = ["slot", "kind", "day"]
+    folders = list(audience.FOLDERS)
     if fmt == "text":
         sinks.write_delimited_text(rows, path, delimiter, partition_by=folders, mode=mode)
     elif fmt == "parquet":
@@ -66,7 +69,7 @@ def extract_job(
     return [c for c in rows.columns if c not in folders]
 
 
-def audit_lines(cells: DataFrame, check: bool = False, **sizes: int) -> DataFrame:
+def audit_lines(cells: DataFrame, check: bool = False) -> DataFrame:
     """``(value, output)``: clean JSON lines and, with ``check``, dirty keys and columns.
 
     One pass over the cells: every device comes together once, with its legal
@@ -80,8 +83,6 @@ def audit_lines(cells: DataFrame, check: bool = False, **sizes: int) -> DataFram
             "legal": F.when(key_ok & legal, F.col("qualifier")),
             "illegal": F.when(key_ok & ~legal, F.col("qualifier")) if check else F.lit(None).cast("string"),
         },
-        cells,
-        **sizes,
     )
     device = keys.key_prefix_first("row_key")
     clean = F.to_json(
@@ -117,40 +118,60 @@ def audit_job(
     at_ms: int | None = None,
     ids_path: str | None = None,
     tags_path: str | None = None,
-) -> None:
-    """Run one mode of the audit program.
+) -> dict[str, int]:
+    """Run one mode of the audit program and return how many records it wrote, by output.
 
     ``json``, ``timestamp``, ``prefix`` and ``clean`` write text below ``path``;
     ``delete`` appends deletes of the keys in ``keys_path`` to the mutation
     ``log``; ``audience`` writes the ids below ``ids_path`` that have a tag
-    listed in ``tags_path``, in one folder per input file.
+    listed in ``tags_path``, in one output per input file: its path below
+    ``ids_path``, with the name cut at its first dot. The counts are observed
+    while the records are written.
     """
+    seen = Observation()
     if mode == "json":
-        sinks.write_json_lines(export.export_array(cells), path)
+        sinks.write_json_lines(counted(export.export_array(cells), seen), path)
     elif mode == "timestamp":
-        sinks.write_csv_pairs(export.last_update(cells), path)
+        sinks.write_csv_pairs(counted(export.last_update(cells), seen), path)
     elif mode == "prefix":
-        sinks.write_csv_pairs(scan.prefix_scan_keys(cells, prefix), path)
+        sinks.write_csv_pairs(counted(scan.prefix_scan_keys(cells, prefix), seen), path)
     elif mode == "clean":
-        sinks.write_lines(audit_lines(cells, check), path, partition_by=("output",))
+        lines = audit_lines(cells, check)
+        outputs = ("clean", "dirty_rowkeys", "dirty_columns") if check else ("clean",)
+        totals = [F.count_if(F.col("output") == o).alias(o) for o in outputs]
+        sinks.write_lines(lines.observe(seen, *totals), path, partition_by=("output",))
     elif mode == "delete":
         row_keys = files.read_id_lines(spark, keys_path).select(F.col("value").alias("row_key"))
-        mutate.upsert_cells(mutate.delete_rows(row_keys, at_ms), log)
+        mutate.upsert_cells(counted(mutate.delete_rows(row_keys, at_ms), seen), log)
     elif mode == "audience":
-        tags = files.require_tags(files.read_filter_tags(spark, tags_path))
-        hits = lookup.audience_filter(id_file_keys(files.read_dir_recursive(spark, ids_path)), cells, tags)
-        out = hits.select("value", F.element_at(F.split(keys.processed_path("path"), "/"), -1).alias("output"))
-        sinks.write_lines(out, path, partition_by=("output",))
+        # written down first, so that Spark knows the size of what it may broadcast
+        tags = files.require_tags(settle(files.read_filter_tags(spark, tags_path).distinct(), "filter-tags"))
+        lines = files.below(files.read_dir_recursive(spark, ids_path), ids_path)
+        hits = lookup.audience_filter(id_file_keys(lines), cells, tags)
+        out = hits.select("value", result_name("path").alias("output"))
+        sinks.write_lines(counted(out, seen), path, partition_by=("output",))
     else:
         raise ValueError(f"unknown audit mode {mode!r}, known are {AUDIT_MODES}")
+    return dict(seen.get)
+
+
+def counted(df: DataFrame, seen: Observation) -> DataFrame:
+    """The frame, with its number of records observed when it runs."""
+    return df.observe(seen, F.count(F.lit(1)).alias("records"))
 
 
 def id_file_keys(lines: DataFrame) -> DataFrame:
-    """Lines of id files with the row key each stands for, its kind told by the path."""
+    """Lines of id files with the row key each stands for, its kind told by the path below their folder."""
     key = F.lower(F.concat_ws(":", "value", keys.kind_from_path("path")))
     return lines.withColumn("row_key", key)
 
 
+def result_name(path: str) -> Column:
+    """Output of an input file: its folder, and its name up to the first dot with a fixed ending."""
+    folder = F.regexp_extract(path, "^(.*/)?", 0)
+    return F.concat(folder, keys.processed_path(F.substring_index(path, "/", -1)))
+
+
 def import_puts(rows: DataFrame, at_ms: int, tag: str | None = None, **names: str) -> DataFrame:
     """Puts of an import: of one tag if it is given, else of every row's tag list."""
     named = audience.named_fields(rows, **names)
@@ -169,14 +190,23 @@ def import_job(
 
 def save_audience(
     ids: DataFrame, at_ms: int, tag: str, path: str | None = None, log: str | None = None, files: int | None = None
-) -> None:
-    """Write an audience as Parquet, as puts of its tag, or both from one computation."""
+) -> dict[str, int]:
+    """Write an audience as Parquet, as puts of its tag, or both from one computation.
+
+    Returns the total and the number of ids of each os, observed on the way.
+    """
+    if not path and not log:
+        raise ValueError("name a path, a log or both")
+    seen = Observation()
+    by_os = [F.count_if(F.col("os") == os).alias(f"os_{os}") for os in keys.OS_NUMBERS]
+    ids = ids.observe(seen, F.count(F.lit(1)).alias("total"), *by_os)
     if path:
         sinks.write_parquet_compact(ids, path, files)
         ids = ids.sparkSession.read.schema(ids.schema).parquet(path)
     if log:
         puts = mutate.retarget_puts(ids.withColumnRenamed("id", "did"), tag, at_ms)
         mutate.upsert_cells(puts, log)
+    return dict(seen.get)
 
 
 def ingest_id_file(spark: SparkSession, path: str, delimiter: str = ",", n: int = 0) -> DataFrame:

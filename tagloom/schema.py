@@ -18,7 +18,10 @@ CELLS = T.StructType(
 CELL_ID = ["row_key", "family", "qualifier"]
 
 # ``op`` is one of put, delete_row, delete_column, delete_version.
-MUTATIONS = T.StructType([T.StructField("op", T.StringType()), *CELLS.fields])
+# ``marked_at`` is the time of the mutation that chose a version to delete.
+MUTATIONS = T.StructType(
+    [T.StructField("op", T.StringType()), *CELLS.fields, T.StructField("marked_at", T.LongType())]
+)
 
 LOGS = T.StructType(
     [

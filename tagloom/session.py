@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows a frame built from driver-side lists may have and still be broadcast.
+# Short rows a frame built from driver-side lists may have and still be broadcast. Beyond it
+# only the join strategy differs, never the rows.
 BROADCAST_ROWS = 100_000
 
 RUNTIME_DEFAULTS = {
@@ -46,7 +47,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.conf.get("spark.master", "").split("[")[0] == "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/tagloom/{name}-{uuid.uuid4().hex}"
@@ -68,8 +69,3 @@ def listed(spark: SparkSession, values: list[str], column: str) -> DataFrame:
     """A one-column frame of driver-side values, broadcast only if it is short."""
     frame = spark.createDataFrame([(v,) for v in values], f"{column} string")
     return F.broadcast(frame) if len(values) <= BROADCAST_ROWS else frame
-
-
-def has_more_than(df: DataFrame, n: int) -> bool:
-    """Whether a frame has more than ``n`` rows; counts no further than that."""
-    return df.limit(n + 1).count() > n

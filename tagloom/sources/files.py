@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote, urlparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -34,12 +36,26 @@ def read_dir_recursive(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("value", F.col("_metadata.file_path").alias("path"))
 
 
+def below(lines: DataFrame, folder: str) -> DataFrame:
+    """``path`` without scheme, host and the folder that was read."""
+    whole = F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    base = quote(urlparse(folder).path.rstrip("/")) + "/"
+    start = F.instr(whole, base)
+    inner = F.when(start > 0, F.substring(whole, start + len(base), F.length(whole))).otherwise(whole)
+    return lines.withColumn("path", inner)
+
+
 def read_filter_tags(spark: SparkSession, path: str) -> DataFrame:
-    """Tags of the comma list in the first line of a file.
+    """Tags of the comma list in the first line of the one file at ``path``.
 
     The first line sits in the block that starts at 0, whatever the file's size.
+    Spark cannot see how long the line is: write the tags down before a join
+    that may broadcast them.
     """
-    first = spark.read.text(path).where("_metadata.file_block_start = 0").limit(1)
+    lines = spark.read.text(path)
+    if len(lines.inputFiles()) != 1:
+        raise ValueError(f"the filter tags must be in one file, {path} has {len(lines.inputFiles())}")
+    first = lines.where("_metadata.file_block_start = 0").limit(1)
     return first.select(F.explode(split_tag_list("value")).alias("tag"))
 
 

@@ -56,7 +56,7 @@ CELLS = f"""cells as (
    when user_id%37=2 then substr(did,1,20)||':'||sfx else did||':'||sfx end as row_key,
   'cf' as family,
   case when event_id%97=0 then 'mh_1' when event_id%41=0 then 'x_ap_'||code else vendor||'_'||code end as qualifier,
-  ts_ms as ts, '1' as value
+  ts_ms as ts, cast(event_id%10 as varchar) as value
  from (select event_id, user_id, {did("user_id")} as did,
    case when user_id%2=1 then 'ifa' else 'didmd5' end as sfx,
    case event_id%8 when 0 then 'mh' when 1 then 'td' when 2 then 'up' when 3 then 'ap' when 4 then 'kd'
@@ -65,14 +65,15 @@ CELLS = f"""cells as (
    epoch_us(ts)//1000 as ts_ms from events) t)"""
 
 LATEST = """latest as (
- select row_key, family, qualifier, max(ts) as ts, max(value) as value from cells group by all)"""
+ select row_key, family, qualifier, max(ts) as ts, arg_max(value, {ts: ts, value: value}) as value
+ from cells group by all)"""
 
 LOGS = f"""logs as (
- select case when event_type='click' then 'clk' else 'imp' end as kind, strftime(ts,'%Y%m%d') as day,
+ select case when event_type in ('click','purchase') then 'clk' else 'imp' end as kind, strftime(ts,'%Y%m%d') as day,
   case when event_id%3=0 then upper({did("user_id")}) when event_id%3=1 then ' '||{did("user_id")}
    else {did("user_id")} end as uid,
   event_id%5 as cid, 100+event_id%7 as creative_id
- from events where event_type in ('click','view','signup'))"""
+ from events)"""
 
 LINES = f"""lines as (
  select case when c_custkey%50=7 then 'short,line' when c_custkey%50=8 then c_name||c_mktsegment
@@ -85,7 +86,7 @@ RESULTS = """results as (
   cast(1100000+l_partkey%50 as varchar) as dealid,
   case l_returnflag when 'A' then '1005' when 'N' then '1006' else '1007' end as rescode,
   epoch_us(o_orderdate)//1000 as "timestamp"
- from orders join lineitem on o_orderkey=l_orderkey)"""
+ from orders join lineitem on o_orderkey=l_orderkey where o_orderkey%11<>0 and o_orderkey%13<>0)"""
 
 IDS = f"ids as (select {did('c_custkey')} as id from customer)"
 

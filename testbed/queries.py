@@ -93,15 +93,30 @@ def _(t: Tables):
     return lines.select("value")
 
 
-def _id_folders(t: Tables, name: str) -> str:
-    """Id lines in one folder per platform, ``and`` or ``ios``."""
+def _id_folders(t: Tables, name: str, one_name: bool = False) -> str:
+    """Id lines in one folder per platform, ``and`` or ``ios``; with ``one_name``, in equally named files."""
     path = work_dir(t.spark, name)
     hyphen = F.contains("id", F.lit("-"))
     ids = t.ids().select(F.col("id").alias("value"), F.when(hyphen, "ios").otherwise("and").alias("os"))
+    if one_name:
+        for os in ("and", "ios"):
+            written = f"{path}-parts/{os}"
+            ids.where(F.col("os") == os).select("value").coalesce(1).write.text(written)
+            _rename_part(t, written, f"{path}/os={os}/ids.csv")
+        return path
     sinks.write_lines(ids, path, partition_by=("os",))
     return path
 
 
+def _rename_part(t: Tables, folder: str, to: str) -> None:
+    """Give the one file of a folder a name of its own."""
+    jvm = t.spark.sparkContext._jvm.org.apache.hadoop.fs
+    source, target = jvm.Path(f"{folder}/part-*"), jvm.Path(to)
+    store = target.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    store.rename(store.globStatus(source)[0].getPath(), target)
+
+
 @query(
     "read_dir_recursive",
     o.sql("select id as value, case when contains(id,'-') then 'ifa' else 'didmd5' end as kind from ids", o.IDS),
@@ -115,15 +130,14 @@ _TOP = "(select tag, count(distinct rowkey) as cnt from flat group by tag order
 
 
 def _tag_file(t: Tables) -> str:
-    """The most common tags as a comma list in the first line of a file."""
+    """All tags as a comma list in the first line of a file."""
     path = work_dir(t.spark, "tags")
-    top = aggregate.tag_reach(t.cells())
-    line = top.agg(F.array_join(F.sort_array(F.collect_list("tag")), ",").alias("value"))
+    line = scan.flat_tags(t.cells()).select("tag").distinct().agg(F.array_join(F.sort_array(F.collect_list("tag")), ",").alias("value"))
     line.unionAll(t.spark.createDataFrame([("a second line, not read",)], "value string")).coalesce(1).write.text(path)
     return path
 
 
-@query("read_filter_tags", o.sql(f"select tag from {_TOP}", o.CELLS, o.LATEST, o.FLAT))
+@query("read_filter_tags", o.sql("select distinct tag from flat", o.CELLS, o.LATEST, o.FLAT))
 def _(t: Tables):
     return files.read_filter_tags(t.spark, _tag_file(t))
 
@@ -482,26 +496,27 @@ def _(t: Tables):
     return audience.campaign_filter(t.logs(), PROJECTS).drop("slot")
 
 
-_EXTRACT = """select case project when 'p1' then 0 else 1 end as slot, kind, day, upper(trim(uid)) as device,
+_EXTRACT = """select project as campaign, kind as log_kind, day as log_day, upper(trim(uid)) as device, day,
  cid+creative_id as both_ids from campaign"""
-_EXTRACT_FIELDS = ["upper(trim(uid)) as device", "cid + creative_id as both_ids"]
+_EXTRACT_FIELDS = ["upper(trim(uid)) as device", "day", "cid + creative_id as both_ids"]
+_EXTRACT_FOLDERS = "campaign string, log_kind string, log_day string"
 
 
 @query("campaign_extract", o.sql(_EXTRACT, o.LOGS, o.CAMPAIGN))
 def _(t: Tables):
     path = work_dir(t.spark, "extract")
     jobs.extract_job(t.logs(), PROJECTS, path, _EXTRACT_FIELDS)
-    return t.spark.read.schema("device string, both_ids bigint, slot int, kind string, day string").parquet(path)
+    return t.spark.read.schema(f"device string, day string, both_ids bigint, {_EXTRACT_FOLDERS}").parquet(path)
 
 
 @query(
     "campaign_extract_text",
-    o.sql(f"select slot, kind, day, device||'|'||both_ids as value from ({_EXTRACT})", o.LOGS, o.CAMPAIGN),
+    o.sql(f"select campaign, log_kind, log_day, device||'|'||day||'|'||both_ids as value from ({_EXTRACT})", o.LOGS, o.CAMPAIGN),
 )
 def _(t: Tables):
     path = work_dir(t.spark, "extract")
     jobs.extract_job(t.logs(), PROJECTS, path, _EXTRACT_FIELDS, fmt="text", delimiter="|")
-    return t.spark.read.schema("value string, slot int, kind string, day string").text(path)
+    return t.spark.read.schema(f"value string, {_EXTRACT_FOLDERS}").text(path)
 
 
 @query("select_fields", o.sql("select uid, concat_ws('-', kind, day) as place, cid*2 as twice from logs", o.LOGS))
@@ -536,9 +551,17 @@ def _(t: Tables):
     return scan.time_range_updates(t.cells(), MIDWAY, MIDWAY + 7 * 86400000)
 
 
-@query("sample_rows")
+@query(
+    "sample_rows",
+    o.sql(
+        "select * from flat where cast('0x'||substr(md5('7|'||rowkey||'|'||tag),1,8) as bigint) < 429496729",
+        o.CELLS,
+        o.LATEST,
+        o.FLAT,
+    ),
+)
 def _(t: Tables):
-    return scan.sample_rows(scan.flat_tags(t.cells()), 0.1, seed=7)
+    return scan.sample_rows(scan.flat_tags(t.cells()), 0.1, ["rowkey", "tag"], seed=7)
 
 
 @query(
@@ -663,18 +686,29 @@ def _(t: Tables):
 
 @query(
     "validate_projects",
-    "select c_custkey, c_custkey%3=0 or c_custkey%5<>0 as aligned from customer",
+    "select c_custkey from customer where c_custkey%3=0 or c_custkey%5<>0",
 )
 def _(t: Tables):
+    aligned = _config(t).where("c_custkey % 3 = 0 or c_custkey % 5 <> 0")
+    return quality.validate_projects(aligned, _LIST_ENDS).select("c_custkey")
+
+
+_LIST_ENDS = {"projects": ",", "imp": ",", "ids": ";"}
+
+
+def _config(t: Tables) -> DataFrame:
     n = F.col("c_custkey")
-    config = t.raw("customer").select(
+    return t.raw("customer").select(
         n,
         F.concat(F.lit("p"), n, F.lit(",q"), n, F.when(n % 3 == 0, ",r").otherwise("")).alias("projects"),
         F.when((n % 3 == 0) | (n % 5 == 0), "1,0,1").otherwise("1,0").alias("imp"),
         F.when(n % 3 == 0, "1,2;3;4").otherwise("1;103,104;").alias("ids"),
     )
-    aligned = quality.lists_align({"projects": ",", "imp": ",", "ids": ";"})
-    return config.select("c_custkey", aligned.alias("aligned"))
+
+
+@query("lists_align", "select c_custkey, c_custkey%3=0 or c_custkey%5<>0 as aligned from customer")
+def _(t: Tables):
+    return _config(t).select("c_custkey", quality.lists_align(_LIST_ENDS).alias("aligned"))
 
 
 # ---------------------------------------------------------------- lookups
@@ -771,7 +805,10 @@ def _(t: Tables):
 # ---------------------------------------------------------------- mutations
 
 _CELL_COLUMNS = "row_key, family, qualifier, ts, value"
-_NEWEST = "select row_key, family, qualifier, max(ts) as ts, max(value) as value from ({}) group by all"
+_NEWEST = (
+    "select row_key, family, qualifier, max(ts) as ts, arg_max(value, {{ts: ts, value: value}}) as value "
+    "from ({}) group by all"
+)
 
 
 @query(
@@ -797,12 +834,12 @@ _TAGLIST_PUTS = (
 )
 
 
-@query("retarget_puts", o.sql(f"select 'put' as op, * from ({_RETARGET_PUTS})", o.LINES, o.RETARGET))
+@query("retarget_puts", o.sql(f"select 'put' as op, *, cast(null as bigint) as marked_at from ({_RETARGET_PUTS})", o.LINES, o.RETARGET))
 def _(t: Tables):
     return mutate.retarget_puts(t.retarget(), TAG, LATER)
 
 
-@query("taglist_puts", o.sql(f"select 'put' as op, * from ({_TAGLIST_PUTS})", o.CELLS, o.TAGLIST))
+@query("taglist_puts", o.sql(f"select 'put' as op, *, cast(null as bigint) as marked_at from ({_TAGLIST_PUTS})", o.CELLS, o.TAGLIST))
 def _(t: Tables):
     return mutate.taglist_puts(t.taglist(), LATER)
 
@@ -840,6 +877,14 @@ def _(t: Tables):
     return mutate.apply_mutations(t.cells(), mutate.delete_column(log, t.ids(), _COLUMN, LATER))
 
 
+@query("delete_column_twice", SQL["delete_column"])
+def _(t: Tables):
+    log = mutate.puts_of(t.cells())
+    once = mutate.delete_column(log, t.ids(), _COLUMN, LATER)
+    again = mutate.delete_column(log.unionByName(once), t.ids(), _COLUMN, LATER)
+    return mutate.apply_mutations(t.cells(), once, again)
+
+
 @query(
     "delete_column_all",
     o.sql(_NEWEST.format(f"select * from cells where ts>{MIDWAY} or not {_TARGETED}"), o.CELLS, o.IDS, _REQUESTED),
@@ -917,6 +962,20 @@ def _(t: Tables):
     return aggregate.tag_to_devices_text(t.cells())
 
 
+@query(
+    "tag_to_devices_parts",
+    o.sql(
+        "select tag, cast(cast('0x'||substr(md5(rowkey),1,8) as bigint)%4 as integer) as part, "
+        "string_agg(rowkey,',' order by rowkey) as rowkeys from (select distinct tag, rowkey from flat) group by all",
+        o.CELLS,
+        o.LATEST,
+        o.FLAT,
+    ),
+)
+def _(t: Tables):
+    return aggregate.tag_to_devices_text(t.cells(), parts=4)
+
+
 @query("sort_by_time_desc", o.sql(_UPDATES, o.CELLS, o.LATEST))
 def _(t: Tables):
     return scan.sort_by_time_desc(scan.flat_updates(t.cells()))
@@ -924,7 +983,7 @@ def _(t: Tables):
 
 @query("preview", o.sql("select did, os from retarget order by did, os limit 20", o.LINES, o.RETARGET))
 def _(t: Tables):
-    return scan.preview(t.retarget())
+    return scan.preview(t.retarget().orderBy("did", "os"))
 
 
 # ---------------------------------------------------------------- jobs
@@ -1049,8 +1108,9 @@ def _(t: Tables):
 @query(
     "audit_job_audience",
     o.sql(
-        f"select id as value from ids where {o.key_of('id')} in (select row_key from cells where "
-        f"substr(qualifier,4) in (select tag from {_TOP}))",
+        "select id as value, case when contains(id,'-') then 'os=ios' else 'os=and' end||'/ids_proceed.csv' as output "
+        f"from ids where {o.key_of('id')} in (select row_key from cells where "
+        "substr(qualifier,4) in (select tag from flat))",
         o.CELLS,
         o.LATEST,
         o.FLAT,
@@ -1059,9 +1119,9 @@ def _(t: Tables):
 )
 def _(t: Tables):
     path = work_dir(t.spark, "audit")
-    ids_path, tags_path = _id_folders(t, "folders"), _tag_file(t)
+    ids_path, tags_path = _id_folders(t, "folders", one_name=True), _tag_file(t)
     jobs.audit_job(t.spark, t.cells(), path, "audience", ids_path=ids_path, tags_path=tags_path)
-    return t.spark.read.text(path).select("value")
+    return t.spark.read.schema("value string, output string").text(path)
 
 
 @query("import_job", o.sql(_RETARGET_PUTS, o.LINES, o.RETARGET))

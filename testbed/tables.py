@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from tagloom.operators import audience, export
 from tagloom.operators.audience import Project
+from tagloom.schema import NESTED, RETARGET, TAG_LIST
 from tagloom.session import apply_defaults, work_dir
 from tagloom.sources import cells as cell_source
 from tagloom.sources import logs as log_source
@@ -103,15 +104,15 @@ class Tables:
         )
         return parts.select(
             row_key.alias("row_key"), F.lit("cf").alias("family"), qualifier.alias("qualifier"), "ts",
-            F.lit("1").alias("value"),
+            F.expr("cast(e % 10 as string)").alias("value"),
         )
 
     def derived_logs(self) -> DataFrame:
         event = F.col("event_id")
         did = device_id(F.col("user_id"))
         uid = F.when(event % 3 == 0, F.upper(did)).when(event % 3 == 1, F.concat(F.lit(" "), did)).otherwise(did)
-        return self.raw("events").where(F.col("event_type").isin("click", "view", "signup")).select(
-            F.when(F.col("event_type") == "click", F.lit("clk")).otherwise(F.lit("imp")).alias("kind"),
+        return self.raw("events").select(
+            F.when(F.col("event_type").isin("click", "purchase"), F.lit("clk")).otherwise(F.lit("imp")).alias("kind"),
             F.date_format("ts", "yyyyMMdd").alias("day"),
             uid.alias("uid"),
             (event % 5).alias("cid"),
@@ -130,8 +131,15 @@ class Tables:
         return self.raw("customer").select(line.alias("value"))
 
     def nested(self) -> DataFrame:
-        """Result logs with one nested result per line item."""
-        customer = F.col("o_custkey")
+        return self._stored(
+            "nested",
+            lambda path: self.derived_nested().write.parquet(path),
+            lambda path: self.spark.read.schema(NESTED).parquet(path),
+        )
+
+    def derived_nested(self) -> DataFrame:
+        """Result logs with the nested results of an order; some orders have none, or a null list."""
+        customer, order = F.col("o_custkey"), F.col("o_orderkey")
         result = F.struct(
             (1100000 + F.col("l_partkey") % 50).cast("string").alias("dealid"),
             F.when(F.col("l_returnflag") == "A", F.lit("1005"))
@@ -139,11 +147,14 @@ class Tables:
             .otherwise(F.lit("1007"))
             .alias("resultCode"),
         )
-        joined = self.raw("orders").join(self.raw("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
+        lists = self.raw("lineitem").groupBy("l_orderkey").agg(F.collect_list(result).alias("found"))
+        joined = self.raw("orders").join(lists, order == F.col("l_orderkey"), "left")
+        none = F.array().cast("array<struct<dealid:string,resultCode:string>>")
+        results = F.when(order % 13 == 0, None).when(order % 11 == 0, none).otherwise(F.col("found"))
         return joined.select(
             F.md5(customer.cast("string")).alias("deviceId"),
             (customer % 2).cast("string").alias("deviceType"),
-            F.array(result).alias("results"),
+            results.alias("results"),
             F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("timestamp"),
         )
 
@@ -158,8 +169,19 @@ class Tables:
                                    .otherwise(F.lit(":didmd5"))).alias("row_key"))
 
     def retarget(self) -> DataFrame:
-        return audience.ids_of_lines(self.lines(), ",", 1).withColumnRenamed("id", "did")
+        return self._stored(
+            "retarget",
+            lambda path: audience.ids_of_lines(self.lines(), ",", 1).withColumnRenamed("id", "did").write.parquet(path),
+            lambda path: self.spark.read.schema(RETARGET).parquet(path),
+        )
 
     def taglist(self) -> DataFrame:
-        devices = export.assemble(self.cells(), {"tags": F.col("qualifier")})
-        return devices.select(F.col("row_key").alias("did"), F.array_join("tags", ",").alias("tags"))
+        def derived() -> DataFrame:
+            devices = export.assemble(self.cells(), {"tags": F.col("qualifier")})
+            return devices.select(F.col("row_key").alias("did"), F.array_join("tags", ",").alias("tags"))
+
+        return self._stored(
+            "taglist",
+            lambda path: derived().write.parquet(path),
+            lambda path: self.spark.read.schema(TAG_LIST).parquet(path),
+        )

@@ -1,8 +1,9 @@
 import pytest
+from pyspark.errors import AnalysisException
 
-from tagloom.operators import mutate
+from tagloom.operators import aggregate, export, lookup, mutate
 from tagloom.plans import jobs
-from tagloom.session import work_dir
+from tagloom.session import settle, work_dir
 from tagloom.sources import files, logs, sinks
 
 from .conftest import rows
@@ -23,27 +24,60 @@ def test_audit_lines_agree_with_and_without_check(cells):
     assert rows(jobs.audit_lines(table, check=True)) == sorted(
         [(clean, "clean"), (f"{A},bad_x", "dirty_columns"), ("dirty", "dirty_rowkeys")]
     )
-    wide = jobs.audit_lines(table, check=True, slices=4, wide_row=0)
-    assert [r for r in rows(wide) if r[1] != "clean"] == [(f"{A},bad_x", "dirty_columns"), ("dirty", "dirty_rowkeys")]
 
 
-def test_audience_job(spark, cells, tmp_path):
+@pytest.mark.parametrize("folder", ["plain", "v1.2", "brand/v1.2", "a b"])
+def test_audience_job(spark, cells, tmp_path, folder):
+    tmp_path = tmp_path / folder
     table = cells((f"{A}:didmd5", "kd_7"), (f"{U}:ifa", "td_7"), (f"{'b' * 32}:didmd5", "kd_8"))
     write_file(tmp_path / "in" / "and" / "one.csv", A.upper(), A, "b" * 32)
     write_file(tmp_path / "in" / "ios" / "deep" / "two.part.csv", U, A)
     write_file(tmp_path / "tags.txt", "7,9,,", "8")
     out = str(tmp_path / "out")
     paths = {"ids_path": f"{tmp_path}/in", "tags_path": f"{tmp_path}/tags.txt"}
-    if "and" in str(tmp_path):
-        pytest.skip("the folder's own name decides the kind")
-    jobs.audit_job(spark, table, out, "audience", **paths)
+    assert jobs.audit_job(spark, table, out, "audience", **paths) == {"records": 3}
     got = spark.read.schema("value string, output string").text(out)
-    assert rows(got) == sorted([(A, "one_proceed.csv"), (A.upper(), "one_proceed.csv"), (U, "two_proceed.csv")])
+    one, two = "and/one_proceed.csv", "ios/deep/two_proceed.csv"
+    assert rows(got) == sorted([(A, one), (A.upper(), one), (U, two)])
     write_file(tmp_path / "none.txt", ",")
     with pytest.raises(ValueError, match="empty"):
         jobs.audit_job(spark, table, out, "audience", **{**paths, "tags_path": f"{tmp_path}/none.txt"})
 
 
+def test_filter_tags_come_from_one_file(spark, tmp_path):
+    write_file(tmp_path / "tags" / "a.txt", "1")
+    write_file(tmp_path / "tags" / "b.txt", "2")
+    with pytest.raises(ValueError, match="one file"):
+        files.read_filter_tags(spark, f"{tmp_path}/tags")
+
+
+def test_long_tag_list_is_not_broadcast(spark, cells, tmp_path):
+    write_file(tmp_path / "tags.txt", ",".join(f"t{i * 7919}" for i in range(200_000)))
+    tags = settle(files.read_filter_tags(spark, f"{tmp_path}/tags.txt").distinct(), "filter-tags")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        table = cells((f"{A}:didmd5", "kd_t7919"))
+        hits = lookup.keys_with_tags(table, tags)
+        assert "SortMergeJoin" in hits._jdf.queryExecution().executedPlan().toString()
+        assert rows(hits) == [(f"{A}:didmd5",)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_no_job_runs_while_a_plan_is_built(spark, cells):
+    table = cells((f"{A}:didmd5", "kd_1"), (f"{U}:ifa", "td_2"))
+    keys = spark.createDataFrame([(f"{A}:didmd5",)], "row_key string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "plans")
+    try:
+        export.clean_export(table), export.export_array(table), export.tags_as_string(table)
+        lookup.lookup_vendor_tags(table, keys), aggregate.tag_to_devices(table, 3), jobs.audit_lines(table, check=True)
+        assert list(tracker.getJobIdsForGroup("plans")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_first_line_of_a_file_in_many_blocks(spark, tmp_path):
     write_file(tmp_path / "tags.txt", "a,b", *["z" * 50] * 2000)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -67,6 +101,10 @@ def test_audit_modes(spark, cells, tmp_path):
     assert mutate.current_state(mutate.read_log(spark, log)).count() == 0
     with pytest.raises(ValueError):
         jobs.audit_job(spark, table, "", "other")
+    mixed = cells((f"{A}:didmd5", "kd_1"), (f"{A}:didmd5", "bad_x"), ("dirty", "kd_1"))
+    totals = jobs.audit_job(spark, mixed, f"{tmp_path}/c", "clean", check=True)
+    assert totals == {"clean": 1, "dirty_rowkeys": 1, "dirty_columns": 1}
+    assert jobs.audit_job(spark, table, f"{tmp_path}/j", "json") == {"records": 1}
 
 
 def test_export_job_modes(spark, cells, tmp_path):
@@ -91,23 +129,21 @@ def test_import_job(spark, tmp_path):
     assert state == [("ab:didmd5", "ap_9"), ("ab:didmd5", "x"), ("ab:didmd5", "y"), ("c-d:ifa", "ap_9")]
 
 
-def test_wide_export_imports_back_whole(spark, cells):
-    """Records of a split device add up to it again."""
-    from tagloom.operators.export import assemble
-    from pyspark.sql import functions as F
-
-    table = cells(*[("k:ifa", f"kd_{i}") for i in range(50)])
-    parts = assemble(table, {"tags": F.col("qualifier")}, wide_row=8, slices=4)
-    assert parts.count() > 1
-    lists = parts.select(F.col("row_key").alias("did"), F.array_join("tags", ",").alias("tags"))
-    state = mutate.current_state(mutate.taglist_puts(lists, 1))
-    assert rows(state.select("qualifier")) == rows(table.select("qualifier"))
+def test_avro_logs(spark, tmp_path):
+    table = spark.createDataFrame([("imp", "20240101", "u", 1, 2)], "kind string, day string, uid string, cid bigint, creative_id bigint")
+    paths = {"imp": f"{tmp_path}/imp"}
+    try:
+        logs.write_day_logs(table, paths, fmt="avro")
+    except AnalysisException as e:
+        pytest.skip(str(e)[:60])
+    assert logs.read_day_logs(spark, paths, fmt="avro").count() == 1
 
 
 def test_ingest_and_save(spark, tmp_path):
     write_file(tmp_path / "ids.txt", f"x,{A.upper()}\t", f"y,{A}", f"z,{U}", "short")
     ids = jobs.ingest_id_file(spark, f"{tmp_path}/ids.txt", ",", 1)
-    jobs.save_audience(ids, 5, "9", path=f"{tmp_path}/out", log=f"{tmp_path}/log", files=2)
+    counts = jobs.save_audience(ids, 5, "9", path=f"{tmp_path}/out", log=f"{tmp_path}/log", files=2)
+    assert counts == {"total": 2, "os_0": 1, "os_1": 1}
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == [(A, "0"), (U, "1")]
     state = mutate.current_state(mutate.read_log(spark, f"{tmp_path}/log"))
     assert rows(state.select("row_key", "qualifier")) == [(f"{A}:didmd5", "ap_9"), (f"{U}:ifa", "ap_9")]
@@ -157,10 +193,13 @@ def test_extract_job(spark, tmp_path):
     )
     p = Project("p", True, True, 0, ("1",), "20240101", "20240102")
     header = jobs.extract_job(table, [p, p], f"{tmp_path}/t", fmt="text", delimiter=";")
-    assert header == ["uid", "cid", "creative_id"]
-    got = spark.read.schema("value string, slot int, kind string, day string").text(f"{tmp_path}/t")
-    assert rows(got) == [
-        (v, slot, k, "20240101") for v, k in (("null;1;2", "clk"), ("u;1;2", "imp")) for slot in (0, 1)
-    ]
+    assert header == table.columns
+    got = spark.read.schema("value string, campaign string, log_kind string, log_day string").text(f"{tmp_path}/t")
+    line = {"clk": "clk;20240101;null;1;2", "imp": "imp;20240101;u;1;2"}
+    assert rows(got) == [(line[k], "p", k, "20240101") for k in ("clk", "clk", "imp", "imp")]
+    jobs.extract_job(table, [p], f"{tmp_path}/d", ["uid", "day", "kind"])
+    assert spark.read.parquet(f"{tmp_path}/d").count() == 2
+    with pytest.raises(ValueError, match="names of their own"):
+        jobs.extract_job(table, [p], f"{tmp_path}/e", ["uid as campaign"])
     with pytest.raises(ValueError):
         jobs.extract_job(table, [p], f"{tmp_path}/x", fmt="csv")

@@ -43,9 +43,14 @@ def test_delete_column_modes(spark, cells):
     log = puts_of(base)
     latest = log.unionByName(delete_column(log, ids(spark, A.upper()), "kd_1", 9))
     assert rows(current_state(latest)) == [(KEY, "cf", "kd_1", 1, "old"), (KEY, "cf", "kd_2", 2, "1")]
-    twice = latest.unionByName(delete_column(latest, ids(spark, A), "kd_1", 9))
+    rerun = latest.unionByName(delete_column(latest, ids(spark, A), "kd_1", 9))
+    assert rows(current_state(rerun)) == rows(current_state(latest))
+    late = rerun.unionByName(puts_of(cells((KEY, "kd_1", 50, "later"))))
+    again = late.unionByName(delete_column(late, ids(spark, A), "kd_1", 9))
+    assert rows(current_state(again)) == [(KEY, "cf", "kd_1", 50, "later"), (KEY, "cf", "kd_2", 2, "1")]
+    twice = latest.unionByName(delete_column(latest, ids(spark, A), "kd_1", 10))
     assert rows(current_state(twice)) == [(KEY, "cf", "kd_2", 2, "1")]
-    thrice = twice.unionByName(delete_column(twice, ids(spark, A), "kd_1", 9))
+    thrice = twice.unionByName(delete_column(twice, ids(spark, A), "kd_1", 11))
     assert rows(current_state(thrice)) == [(KEY, "cf", "kd_2", 2, "1")]
     every = log.unionByName(delete_column(log, ids(spark, A), "kd_1", 9, mode="all"))
     assert rows(current_state(every)) == [(KEY, "cf", "kd_2", 2, "1")]
@@ -70,11 +75,11 @@ def test_retarget_and_taglist_puts(spark):
 def fold(log):
     """The meaning of a log, cell by cell."""
     versions = {}
-    for op, key, family, q, ts, value in log:
+    for op, key, family, q, ts, value, _ in log:
         if op == "put":
             cell = versions.setdefault((key, family, q), {})
             cell[ts] = max(value, cell.get(ts, value))
-    for op, key, family, q, ts, _ in log:
+    for op, key, family, q, ts, *_ in log:
         for (k, f, c), cell in versions.items():
             for at in list(cell):
                 row = op == "delete_row" and k == key and at <= ts
@@ -93,8 +98,8 @@ def test_fold_against_brute_force(spark, tmp_path, seed):
         # one key holds most of the log
         key, q, ts = rng.choice(["hot", "hot", "k1", "k2"]), f"kd_{rng.randrange(4)}", rng.randrange(40)
         op = rng.choice(["put"] * 12 + ["delete_version"] * 3 + ["delete_column"])
-        log.append((op, key, "cf", q, ts, str(rng.randrange(3)) if op == "put" else None))
-    log += [("delete_row", "k1", None, None, 15, None), ("delete_row", "hot", None, None, 2, None)]
+        log.append((op, key, "cf", q, ts, str(rng.randrange(3)) if op == "put" else None, None))
+    log += [("delete_row", "k1", None, None, 15, None, None), ("delete_row", "hot", None, None, 2, None, None)]
     path = str(tmp_path / "log")
     for part in (log[:300], log[300:], log[:50]):  # a batch that was written twice changes nothing
         mutate.upsert_cells(spark.createDataFrame(part, mutate.MUTATIONS), path)
@@ -109,3 +114,7 @@ def test_fold_against_brute_force(spark, tmp_path, seed):
     assert rows(current_state(mutate.read_log(spark, target))) == newest
     with pytest.raises(ValueError):
         mutate.compact(spark, path, path)
+    batch = spark.createDataFrame([("put", "new", "cf", "kd_1", 99, "x", None)], mutate.MUTATIONS)
+    mutate.upsert_cells(batch, path)  # after the snapshot
+    both = mutate.read_compacted(spark, target, path)
+    assert rows(current_state(both)) == sorted([*newest, ("new", "cf", "kd_1", 99, "x")])

@@ -70,19 +70,10 @@ def skewed_cells(spark, devices=200, hot_tags=400, versions=20):
     return df.select("row_key", F.lit("cf").alias("family"), "qualifier", "ts", F.lit("1").alias("value")), expected
 
 
-@pytest.mark.parametrize("slices, wide_row", [(32, 1_000_000), (1, 300), (8, 80), (4, 4)])
-def test_assemble_is_whole_whatever_the_split(spark, slices, wide_row):
+def test_assemble_has_one_record_per_key(spark):
     table, expected = skewed_cells(spark)
-    got = export.assemble(table, {"q": F.col("qualifier")}, wide_row=wide_row, slices=slices).collect()
-    found = defaultdict(list)
-    for key, q in got:
-        assert q == sorted(q)
-        found[key] += q
-    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in expected.items()}
-    if wide_row > 1000:
-        assert len(got) == len(expected)
-    if (slices, wide_row) == (8, 80):  # the hot device is split, the others are not
-        assert len(got) == len(expected) + 7 and len(expected[f"{A}:didmd5"]) == 400
+    got = export.assemble(table, {"q": F.col("qualifier")}).collect()
+    assert {r.row_key: r.q for r in got} == {k: sorted(v) for k, v in expected.items()} and len(got) == len(expected)
 
 
 def test_index_parts_are_disjoint_and_whole(spark):
@@ -94,7 +85,7 @@ def test_index_parts_are_disjoint_and_whole(spark):
         )
     )
     whole = {(r.tag, r.rowkey) for r in aggregate.tag_index(table).collect()}
-    got = aggregate.tag_to_devices(table, list_size=500).collect()
+    got = aggregate.tag_to_devices(table, parts=6).collect()
     pairs = [(r.tag, d) for r in got for d in r.rowkeys]
     assert len(pairs) == len(set(pairs)) and set(pairs) == whole
     hot = [r for r in got if r.tag == "hot"]
@@ -204,8 +195,8 @@ def test_campaign_extract_fields(spark):
     logs = logs_of(spark, ("imp", "20240101", "u1", 1, 100))
     p = Project("p", True, False, 0, ("1",), "20240101", "20240102")
     got = audience.campaign_extract(logs, [p], ["concat(uid, ',', cid) as both"])
-    assert got.columns == ["both", "slot", "kind", "day"] and rows(got) == [("u1,1", 0, "imp", "20240101")]
-    assert audience.campaign_extract(logs, [p]).columns == ["slot", "kind", "day", "uid", "cid", "creative_id"]
+    assert got.columns == ["both", *audience.FOLDERS] and rows(got) == [("u1,1", "p", "imp", "20240101")]
+    assert audience.campaign_extract(logs, [p]).columns == [*logs.columns, *audience.FOLDERS]
 
 
 def test_parse_projects():
@@ -251,4 +242,4 @@ def test_scan_details(spark, cells):
     assert rows(scan.time_range_updates(table, 2000, 5000).select("tag")) == [("kd_1",), ("kdx",)]
     assert rows(export.last_update(cells((f"{A}:x", "kd_1", 1), (f"{A}:x", "td_1", 7)))) == [(A, 7)]
     assert scan.preview(spark.range(100)).count() == 20
-    assert 0 < scan.sample_rows(spark.range(10_000), 0.1, 1).count() < 2000
+    assert 0 < scan.sample_rows(spark.range(10_000), 0.1, ["id"], 1).count() < 2000
