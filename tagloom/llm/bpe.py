@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
@@ -28,10 +28,62 @@ CELLS = 1 << 20  # cells of one block of trees
 CHUNK_CHARS = 1 << 20  # text handled at once
 NONE = np.iinfo(np.int64).max
 
-# White space as the tokenizer's pattern engine has it; fixed values.
+# White space, and what the tokenizer library's tables have that Python's lack: letters, numbers and lower case of
+# newer scripts. Marks it treats as letters of their own when it puts marks in order. Fixed values.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
-ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zA-Z]+|[0-9]|[^\t-\r a-zA-Z0-9]+")
+LETTERS = (
+    "1c89-1c8a a7cb-a7cd a7da-a7dc 105c0-105f3 10d4a-10d65 10d6f-10d85 10ec2-10ec4 11380-11389 1138b 1138e 11390-113b5 "
+    "113b7 113d1 113d3 11bc0-11be0 13460-143fa 16100-1611d 16d40-16d6c 18cff 1e5d0-1e5ed 1e5f0"
+)
+NUMBERS = "10d40-10d49 116d0-116e3 11bf0-11bf9 16130-16139 16d70-16d79 1ccf0-1ccf9 1e5f1-1e5fa"
+LOWER = "1c89:1c8a a7cb:0264 a7cc:a7cd a7ce:a7cf a7d2:a7d3 a7d4:a7d5 a7da:a7db a7dc:019b 10d50-10d65:10d70 16ea0-16eb8:16ebb"
+MARKS = (
+    "07fd 0898-089f 08ca-08d3 09fe 0c3c 0d3b-0d3c 0eba 1715 1abf-1ace 1df6-1dfa a82c 10d24-10d27 10eab-10eac 10efd-10eff "
+    "10f46-10f50 10f82-10f85 11070 1133b 1145e 11839-1183a 1193d-1193e 11943 119e0 11a34 11a47 11a99 11d42 11d44-11d45 "
+    "11d97 11f41-11f42 16ff0-16ff1 1e08f 1e130-1e136 1e2ae 1e2ec-1e2ef 1e4ec-1e4ef"
+)
+
+
+def places(spans: str) -> list[int]:
+    """Code points of spans written in hexadecimal."""
+    ends = [[int(x, 16) for x in span.split("-")] for span in spans.split()]
+    return [i for e in ends for i in range(e[0], e[-1] + 1)]
+
+
+def members(code_points: Iterable[int]) -> str:
+    """Code points as the inside of a character class."""
+    out: list[list[int]] = []
+    for i in sorted(code_points):
+        if out and out[-1][1] == i - 1:
+            out[-1][1] = i
+        else:
+            out.append([i, i])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+def category(name: str, more: str) -> str:
+    own = (i for i in range(sys.maxunicode + 1) if unicodedata.category(chr(i))[0] == name)
+    return members({*own, *places(more)})
+
+
+def lower_table() -> dict[int, int]:
+    out = {}
+    for pair in LOWER.split():
+        span, to = pair.split(":")
+        out |= {c: int(to, 16) + i for i, c in enumerate(places(span))}
+    return out
+
+
+@lru_cache(maxsize=1)
+def patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """Words of any text, marks that stand alone, and characters that need one of the tables above."""
+    letter, number = category("L", LETTERS), category("N", NUMBERS)
+    words = rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{SPACE}{letter}{number}]+"
+    marks = members(places(MARKS))
+    return re.compile(words), re.compile(f"([{marks}])"), re.compile(f"[{marks}{members(lower_table())}\u03a3]")
+
+
+ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 
 
 def byte_letters() -> list[str]:
@@ -163,8 +215,11 @@ class WordBpe:
     def _plain(text: str) -> list[str]:
         if text.isascii():
             return ASCII_WORDS.findall(text.lower())
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # no final form of sigma
-        return WORDS.findall(text.lower())
+        words, marks, rare = patterns()
+        if not rare.search(text):
+            return words.findall(unicodedata.normalize("NFC", text).lower())
+        text = "".join(unicodedata.normalize("NFC", part) for part in marks.split(text))
+        return words.findall(text.replace("\u03a3", "\u03c3").lower().translate(lower_table()))  # no final form of sigma
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""

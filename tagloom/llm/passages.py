@@ -40,15 +40,20 @@ class PassageSettings:
     patterns: int = 50_000  # windows compiled into one automaton
 
 
+def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` (np.minimum or np.maximum) over every run of ``width`` values, by doubling."""
+    size, out = 1, values
+    while size < width:
+        step = min(size, width - size)
+        out = pick(out[:-step], out[step:])
+        size += step
+    return out
+
+
 def window_anchors(words: np.ndarray, s: PassageSettings) -> tuple[np.ndarray, np.ndarray]:
     """Anchor of each window, and hashes of the short runs."""
     grams = rolling(words, s.gram)
-    wide, size, low = s.window - s.gram + 1, 1, grams
-    while size < wide:
-        step = min(size, wide - size)
-        low = np.minimum(low[:-step], low[step:])
-        size += step
-    return low, grams
+    return sliding(grams, s.window - s.gram + 1, np.minimum), grams
 
 
 def anchors_of(words: np.ndarray, s: PassageSettings) -> np.ndarray:
@@ -56,22 +61,25 @@ def anchors_of(words: np.ndarray, s: PassageSettings) -> np.ndarray:
     if len(words) < s.window:
         return words[:0]
     low, grams = window_anchors(words, s)
-    values, times = np.unique(grams, return_counts=True)
-    own = np.isin(values, low)
-    return np.repeat(values[own], np.minimum(times[own], 2))
+    wide = s.window - s.gram
+    # A short run is an anchor if it is the smallest of some window around it.
+    around = sliding(np.concatenate([low[:1].repeat(wide) * 0, low, low[:1].repeat(wide) * 0]), wide + 1, np.maximum)
+    values, times = np.unique(grams[around == grams], return_counts=True)
+    return np.repeat(values, np.minimum(times, 2))
 
 
 def stretches(words: np.ndarray, lanes: dict[int, tuple], s: PassageSettings) -> Iterator[tuple[tuple, int, np.ndarray]]:
     """Maximal runs of windows whose anchors have the same lane: the lane, first word, words."""
     low = window_anchors(words, s)[0].astype(np.int64)
-    known, place = np.unique(low, return_inverse=True)
-    names: dict[tuple, int] = {}
-    number = np.array([names.setdefault(lanes[a], len(names)) if a in lanes else -1 for a in known.tolist()])[place]
-    cuts = np.flatnonzero(np.diff(number)) + 1
-    of = list(names)
-    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(number)], strict=True):
-        if number[lo] >= 0:
-            yield of[number[lo]], lo, words[lo : hi + s.window - 1]
+    starts = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+    of = [lanes.get(a) for a in low[starts].tolist()]
+    starts = [*starts.tolist(), len(low)]
+    first = 0
+    for i in range(1, len(of) + 1):
+        if i == len(of) or of[i] != of[first]:
+            if of[first] is not None:
+                yield of[first], starts[first], words[starts[first] : starts[i] + s.window - 1]
+            first = i
 
 
 class Windows:
@@ -95,36 +103,53 @@ class Windows:
         return order[first], np.diff(np.append(first, len(h)))
 
 
-def symbols(words: np.ndarray) -> np.ndarray:
-    """Words as the 32-bit symbols an automaton takes."""
-    return (words >> np.uint64(32)).astype(np.int64)
+def as_text(words: np.ndarray) -> str:
+    """Words as the characters an automaton reads, one per word, by 20 bits of the hash."""
+    return ((words >> np.uint64(44)).astype("<u4") + np.uint32(0x10000)).tobytes().decode("utf-32-le")
 
 
-def repeated(
-    seen: Windows, starts: np.ndarray, ids: np.ndarray, phrases: np.ndarray, hashes: np.ndarray, first: list[tuple[int, int]], s: PassageSettings
-) -> Iterator[tuple[int, int]]:
-    """Id and start of every occurrence of a phrase but its first, in all stretches of a group."""
+def automata(phrases: np.ndarray, s: PassageSettings) -> Iterator[ahocorasick.Automaton]:
+    """Automata over all phrases (rows of words), a bounded number in each."""
     for lo in range(0, len(phrases), s.patterns):
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        for i, row in enumerate(symbols(phrases[lo : lo + s.patterns]).tolist()):
-            automaton.add_word(tuple(row), lo + i)
+        text = as_text(phrases[lo : lo + s.patterns].ravel())
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+        for at in range(0, len(text), s.window):
+            automaton.add_word(text[at : at + s.window])
         automaton.make_automaton()
-        for part, start, doc in zip(seen.parts, starts, ids, strict=True):
-            exact = rolling(part, s.window)
-            for end, phrase in automaton.iter(tuple(symbols(part).tolist())):
-                at = end - s.window + 1
-                if exact[at] == hashes[phrase] and (doc, start + at) > first[phrase]:
-                    yield doc, start + at
-
-
-def ranges_of(found: Iterable[tuple[int, int]], s: PassageSettings) -> pd.DataFrame:
-    """Windows marked as ranges of words, overlapping ones made one."""
-    out: list[list[int]] = []
-    for doc, at in sorted(set(found)):
-        if out and out[-1][0] == doc and at <= out[-1][2]:
-            out[-1][2] = at + s.window
-        else:
-            out.append([doc, at, at + s.window])
+        yield automaton
+
+
+def marked_ranges(
+    pdf: pd.DataFrame, phrases: np.ndarray, hashes: np.ndarray, ids: np.ndarray, starts: np.ndarray, s: PassageSettings
+) -> pd.DataFrame:
+    """Ranges of words that phrases cover, first occurrences left out, in all stretches of a group.
+
+    ``hashes``, ``ids`` and ``starts`` are those of the phrases and their first
+    occurrences. Equal stretches are streamed once.
+    """
+    order = np.argsort(hashes, kind="stable")
+    hashes, ids, starts = hashes[order], ids[order], starts[order]
+    hits: dict[bytes, list[np.ndarray]] = {b: [] for b in pdf["words"]}
+    for automaton in automata(phrases, s):
+        for b, found in hits.items():
+            text = as_text(np.frombuffer(b, dtype=np.uint64))
+            found.append(np.fromiter((end for end, _ in automaton.iter(text)), dtype=np.int64))
+    out: list[tuple[int, int, int]] = []
+    located = {}
+    for b, found in hits.items():
+        at = np.unique(np.concatenate(found)) - s.window + 1 if found else np.empty(0, np.int64)
+        exact = rolling(np.frombuffer(b, dtype=np.uint64), s.window)[at]
+        phrase = np.minimum(np.searchsorted(hashes, exact), max(0, len(hashes) - 1))
+        good = hashes[phrase] == exact if len(hashes) else np.zeros(0, dtype=bool)
+        located[b] = at[good], phrase[good]
+    for b, doc, start in zip(pdf["words"], pdf["id"].tolist(), pdf["start"].tolist(), strict=True):
+        at, phrase = located[b]
+        later = (ids[phrase] < doc) | ((ids[phrase] == doc) & (starts[phrase] < start + at))
+        at = at[later] + start
+        if len(at):
+            cuts = np.flatnonzero(at[1:] > at[:-1] + s.window) + 1
+            low, high = at[np.concatenate([[0], cuts])], at[np.concatenate([cuts - 1, [-1]])] + s.window
+            out += [(doc, a, z) for a, z in zip(low.tolist(), high.tolist(), strict=True)]
     return pd.DataFrame(out, columns=["id", "start", "end"]).astype({"id": "int64", "start": "int32", "end": "int32"})
 
 
@@ -170,8 +195,11 @@ def repeated_ranges(docs: DataFrame, settings: PassageSettings = PassageSettings
         hasher = WordHasher(fold=False)
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for doc, text, lanes_ in zip(*(batch.column(k) for k in range(3)), strict=True):
-                of = {x["anchor"]: (x["owner"], x["part"], x["hot"]) for x in lanes_.as_py()}
+            lists = batch.column(2)
+            flat = [lists.flatten().field(k).to_pylist() for k in ("anchor", "owner", "part", "hot")]
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+            for doc, text, lo, hi in zip(batch.column(0), batch.column(1), [0, *ends], ends, strict=False):
+                of = dict(zip(flat[0][lo:hi], zip(*(x[lo:hi] for x in flat[1:]), strict=True), strict=True))
                 words = hasher.of(text.as_py())
                 if len(words) < s.window:  # a further text under the same id
                     continue
@@ -209,18 +237,16 @@ def repeated_ranges(docs: DataFrame, settings: PassageSettings = PassageSettings
 
     def mark(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
-            return ranges_of([], s)
-        seen = Windows(left, s)
+            return right[["id", "start"]].head(0).assign(end=0).astype({"id": "int64", "start": "int32", "end": "int32"})
         if left["hot"].iloc[0]:
-            rows = np.array([np.frombuffer(b, dtype=np.uint64) for b in right["words"]]).reshape(-1, s.window)
-            hashes = right["hash"].to_numpy().astype(np.uint64)
-            first = list(zip(right["id"].tolist(), right["start"].tolist(), strict=True))
+            rows = np.frombuffer(b"".join(right["words"]), dtype=np.uint64).reshape(-1, s.window)
+            first = right["hash"].to_numpy().astype(np.uint64), right["id"].to_numpy(), right["start"].to_numpy()
         else:
+            seen = Windows(left, s)
             place, times = seen.distinct()
             place = place[times > 1]
-            rows, hashes = seen.rows[place], seen.hash[place]
-            first = list(zip(seen.id[place].tolist(), seen.at[place].tolist(), strict=True))
-        return ranges_of(repeated(seen, left["start"].tolist(), left["id"].tolist(), rows, hashes, first, s), s)
+            rows, first = seen.rows[place], (seen.hash[place], seen.id[place], seen.at[place])
+        return marked_ranges(left, rows, *first, s)
 
     marked = runs.groupBy("owner", "part", "hot").cogroup(phrases.groupBy("of_owner", "of_part", "of_hot")).applyInPandas(
         mark, "id long, start int, end int"

@@ -20,23 +20,28 @@ def fold(text: str) -> str:
     return text.lower() if text.isascii() else UPPERS.sub(lambda m: m[0].lower(), text)
 
 
+class Hashes(dict):
+    """64-bit hashes of words; a word not seen yet is hashed when it is asked for."""
+
+    def __missing__(self, word: str) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
 class WordHasher:
     """64-bit hash of each word; hashes of words seen are kept in a bounded cache."""
 
     def __init__(self, fold: bool):
         self.fold = fold
-        self.cache: dict[str, int] = {}
+        self.cache = Hashes()
 
     def words(self, text: str) -> list[str]:
         return WORDS.findall(fold(text) if self.fold else text)
 
     def hashes(self, words: list[str]) -> np.ndarray:
-        cache = self.cache
-        if len(cache) > CACHED:
-            cache.clear()
-        for w in {w for w in set(words) if w not in cache}:
-            cache[w] = xxhash.xxh3_64_intdigest(w)
-        return np.fromiter(map(cache.__getitem__, words), dtype=np.uint64, count=len(words))
+        if len(self.cache) > CACHED:
+            self.cache.clear()
+        return np.fromiter(map(self.cache.__getitem__, words), dtype=np.uint64, count=len(words))
 
     def of(self, text: str) -> np.ndarray:
         return self.hashes(self.words(text))
