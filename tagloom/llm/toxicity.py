@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import id_and_text, remainder
+from tagloom.llm.common import id_and_text, remainder, stored
 from tagloom.llm.words import WORDS
 
-CACHED = 250_000  # words and units of one generation
+CACHED = 400_000  # words and units of one generation
 PAIRS = 512  # hashed letter pairs
 LONGEST = 24  # letters of a unit; longer words are cut into overlapping ones
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -71,15 +71,14 @@ def ends_sentence(word: str) -> bool:
 def tokens(text: str) -> list[str]:
     """Words; runs of three or more single letters are one word."""
     words = WORDS.findall(text)
-    if not any(len(w) == 1 for w in set(words)):
-        return words
-    short = [i for i, w in enumerate(words) if len(w) == 1 and w.isalpha()]
-    if len(short) < 3:
+    letters = {w for w in set(words) if len(w) == 1 and w.isalpha()}
+    at = [i for i, w in enumerate(words) if w in letters] if letters else []
+    if not any(b - a == 2 for a, b in zip(at, at[2:], strict=False)):
         return words
     out: list[str] = []
     run: list[str] = []
     for w in [*words, ""]:
-        if len(w) == 1 and w.isalpha():
+        if w in letters:
             run.append(w)
             continue
         out += ["".join(run)] if len(run) >= 3 else run
@@ -233,7 +232,7 @@ class Reader:
             held.append(tokens(text))
             size += len(held[-1])
             if size >= limit or i == len(texts) - 1:
-                self.learn({w for words in held for w in words})
+                self.learn(set().union(*held))
                 for words in held:
                     yield self.sentences(words)
                 held, size = [], 0
@@ -275,7 +274,7 @@ def unit_counts(rows: DataFrame) -> DataFrame:
 
 def choose_landmarks(rows: DataFrame, s: ToxicSettings) -> tuple[list[str], int]:
     """Landmarks, toxic ones first, and how many of them are."""
-    counts = unit_counts(rows)
+    counts = stored(unit_counts(rows), "units")
     odds = (F.col("toxic") + 0.1) / (F.col("ordinary") + 1) * F.log1p("toxic")
     toxic = counts.where("toxic > 1").orderBy(F.desc(odds), "unit").limit(s.candidates).collect()
     plain = counts.where("ordinary > toxic").orderBy(F.desc("ordinary"), "unit").limit(s.candidates).collect()

@@ -33,7 +33,7 @@ class TreeSettings:
     rare: float = 0.02  # and so do values with less than this share of the place
     bands: int = 10  # branches whose bad share falls in one band are alike and merged
     weight: int = 10  # of the prior, in labelled urls
-    reject: float = 0.5  # smoothed bad share from which a template is rejected
+    reject: float = 0.5  # smoothed bad share above which a template is rejected
 
 
 def _rest(url: Column) -> Column:
@@ -160,7 +160,7 @@ def filter_urls(
             labels.select("host", segments(F.col("path"), settings.depth).alias("segs"), F.col("bad").cast("int").alias("bad"))
         )
     tree = template_tree(known, settings).select("host", "segs", "template", "share")
-    verdict = F.coalesce(F.col("ruled"), F.when(F.col("share") >= settings.reject, F.lit("block")).otherwise("allow"))
+    verdict = F.coalesce(F.col("ruled"), F.when(F.col("share") > settings.reject, F.lit("block")).otherwise("allow"))
     return rows.join(tree, ["host", "segs"], "left").select(
         id_col, "host", "path", "rule", verdict.alias("verdict"),
         F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "share",
