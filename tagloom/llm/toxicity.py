@@ -27,6 +27,7 @@ CACHED = 400_000  # words and units of one generation
 PAIRS = 512  # hashed letter pairs
 LONGEST = 24  # letters of a unit; longer words are cut into overlapping ones
 LETTERS = re.compile(r"[^\W\d_]+")
+EDGES = ".,;:!?\"'()"
 # Signs written for letters; fixed values.
 SIGNS = str.maketrans("013457@$", "oieastas")
 
@@ -50,11 +51,11 @@ class ToxicSettings:
 
 def units_of(word: str) -> list[str]:
     """Letters of a word between marks for its ends; signs inside are left out."""
-    word = word.lower()
+    word = word.strip(EDGES).lower()
     if not word.isalpha():
         if not LETTERS.search(word):
             return []
-        word = "".join(LETTERS.findall(word.strip(".,;:!?\"'()").translate(SIGNS)))
+        word = "".join(LETTERS.findall(word.translate(SIGNS)))
     if len(word) < 3:
         return []
     word = f"^{word}$"
@@ -88,11 +89,11 @@ def tokens(text: str) -> list[str]:
     return out
 
 
-def codes(units: list[str], width: int, fill: int) -> np.ndarray:
-    """Characters as numbers, ``fill`` beyond the end."""
-    flat = "".join([u.ljust(width, "\0") for u in units]).encode("utf-32-le", "surrogatepass")
-    out = np.frombuffer(flat, dtype="<i4").reshape(len(units), width).copy()
-    out[out == 0] = fill
+def codes(units: list[str]) -> np.ndarray:
+    """Characters as numbers, -1 beyond the end."""
+    flat = "".join([u.ljust(LONGEST, "\0") for u in units]).encode("utf-32-le", "surrogatepass")
+    out = np.frombuffer(flat, dtype="<i4").reshape(len(units), LONGEST).copy()
+    out[out == 0] = -1
     return out
 
 
@@ -115,28 +116,32 @@ def subsequence_kernel(a: np.ndarray, b: np.ndarray, order: int, decay: float) -
     return total
 
 
-def kernel_of(a: list[str], b: list[str], s: ToxicSettings) -> np.ndarray:
-    """Kernel values of units pairwise by place."""
+def kernel_rows(a: np.ndarray, b: np.ndarray, s: ToxicSettings) -> np.ndarray:
+    """Kernel values of coded units, row by row; short rows are computed narrowly."""
     out = np.zeros(len(a), dtype=np.float64)
-    length = np.array([max(len(x), len(y)) for x, y in zip(a, b, strict=True)])
-    for width in (10, 14, 18, LONGEST):
-        rows = np.flatnonzero((length <= width) & (length > {10: 0, 14: 10, 18: 14}.get(width, 18)))
+    length = np.maximum((a >= 0).sum(axis=1), (b >= 0).sum(axis=1))
+    least = 0
+    for width in (9, 12, 16, LONGEST):
+        rows = np.flatnonzero((length > least) & (length <= width))
         for lo in range(0, len(rows), 8192):
             part = rows[lo : lo + 8192]
-            left, right = codes([a[i] for i in part], width, -1), codes([b[i] for i in part], width, -2)
-            out[part] = subsequence_kernel(left, right, s.order, s.decay)
+            right = b[part, :width]
+            out[part] = subsequence_kernel(a[part, :width], np.where(right < 0, -2, right), s.order, s.decay)
+        least = width
     return out
 
 
-def letter_pairs(units: list[str], reach: int) -> np.ndarray:
-    """Which hashed letter pairs, up to ``reach`` apart, each unit has."""
-    c = codes(units, LONGEST, -1).astype(np.int64)
-    out = np.zeros((len(units), PAIRS), dtype=np.float32)
-    rows = np.arange(len(units))
+def kernel_of(a: list[str], b: list[str], s: ToxicSettings) -> np.ndarray:
+    """Kernel values of units pairwise by place."""
+    return kernel_rows(codes(a), codes(b), s)
+
+
+def letter_pairs(c: np.ndarray, reach: int) -> np.ndarray:
+    """Which hashed letter pairs, up to ``reach`` apart, each coded unit has."""
+    out = np.zeros((len(c), PAIRS), dtype=np.float32)
     for gap in range(1, reach + 1):
-        for i in range(LONGEST - gap):
-            has = c[:, i + gap] >= 0
-            out[rows[has], (c[has, i] * 31 + c[has, i + gap]) % PAIRS] = 1
+        row, at = np.nonzero(c[:, gap:] >= 0)
+        out[row, (c[row, at] * 31 + c[row, at + gap]) % PAIRS] = 1
     return out
 
 
@@ -145,20 +150,20 @@ class Landmarks:
 
     def __init__(self, words: list[str], s: ToxicSettings):
         self.words, self.s = words, s
-        self.own = np.sqrt(kernel_of(words, words, s))
-        self.pairs = letter_pairs(words, 1)
+        self.codes = codes(words)
+        self.own = np.sqrt(kernel_rows(self.codes, self.codes, s))
+        self.pairs = letter_pairs(self.codes, 1)
         self.least = np.maximum(2, s.shared * self.pairs.sum(axis=1))
 
     def similar(self, units: list[str]) -> np.ndarray:
         out = np.zeros((len(units), len(self.words)), dtype=np.float32)
         for lo in range(0, len(units), 4096):
-            part = units[lo : lo + 4096]
-            row, m = np.nonzero(letter_pairs(part, 3) @ self.pairs.T >= self.least)
+            c = codes(units[lo : lo + 4096])
+            row, m = np.nonzero(letter_pairs(c, 3) @ self.pairs.T >= self.least)
             if len(row):
-                value = kernel_of([part[i] for i in row], [self.words[j] for j in m], self.s)
                 some, at = np.unique(row, return_inverse=True)
-                chosen = [part[i] for i in some]
-                out[lo + row, m] = value / np.sqrt(kernel_of(chosen, chosen, self.s))[at] / self.own[m]
+                own = np.sqrt(kernel_rows(c[some], c[some], self.s))
+                out[lo + row, m] = kernel_rows(c[row], self.codes[m], self.s) / own[at] / self.own[m]
         return out
 
 
