@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, lm, passages, pii, rabitq, secrets, setsketch, tiling, toxicity, urls
+from tagloom.llm import bpe, lm, passages, pii, rabitq, secrets, setsketch, tiling, toxicity, twins, urls
 from tagloom.llm.spans import count_of, joined
 
 VOCABULARY = "word_bpe_49k.json"
@@ -63,7 +63,8 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.filter_urls(table(spark, sf_dir, "pages"))
+    judged = urls.filter_urls(table(spark, sf_dir, "pages"))
+    return judged.withColumn("share", F.round("share", 9))
 
 
 def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,4 +72,8 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op3_toxicity, op4_near_duplicates, op5_pii, op6_decontamination, op7_passages, op8_neighbours, op9_url_filter, op10_language_model)}
-SQL: dict[str, str] = {}
+SQL = {
+    "op4_near_duplicates": twins.NEAR_DUPLICATES,
+    "op7_passages": twins.PASSAGES,
+    "op9_url_filter": twins.URL_FILTER,
+}
