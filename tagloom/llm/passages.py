@@ -191,7 +191,8 @@ def repeated_ranges(docs: DataFrame, settings: PassageSettings = PassageSettings
     shared = F.col("salts") == 0
     wanted = (
         anchors.distinct().join(owned, "anchor")
-        .select("id", F.struct("anchor", F.when(shared, 0).otherwise(F.col("owner")).alias("owner"), part.cast("int").alias("part"), (~shared).alias("hot")).alias("lane"))
+        .select("id", F.struct("anchor", F.when(shared, 0).otherwise(F.col("owner")).alias("owner"),
+                               part.cast("int").alias("part"), (~shared).alias("hot")).alias("lane"))
         .groupBy("id").agg(F.collect_list("lane").alias("lanes"))
     )
 

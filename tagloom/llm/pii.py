@@ -118,13 +118,14 @@ def features_of(value: Column, before: Column, after: Column) -> Column:
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[0-9]+", "0"), "[A-Za-z]+", "a"), "(.)\\1+", "$1")
     edge = lambda c: F.when(c == "", "none").when(F.rlike(c, F.lit(r"^\s$")), "space").when(
         F.rlike(c, F.lit("^[0-9]$")), "digit").when(F.rlike(c, F.lit(r"^\p{L}$")), "letter").otherwise("other")
+    word = F.lower(F.regexp_extract(before, r"([\p{L}]+)[^\p{L}]*$", 1))
     return F.array(
         F.concat(F.lit("length:"), F.least(F.length(value), F.lit(40)).cast("string")),
         F.concat(F.lit("digits:"), F.least(F.length(F.regexp_replace(value, "[^0-9]", "")), F.lit(20)).cast("string")),
         F.concat(F.lit("shape:"), (F.crc32(shape.cast("binary")) % 64).cast("string")),
         F.concat(F.lit("before:"), edge(F.right(before, F.lit(1)))),
         F.concat(F.lit("after:"), edge(F.left(after, F.lit(1)))),
-        F.concat(F.lit("word:"), (F.crc32(F.lower(F.regexp_extract(before, r"([\p{L}]+)[^\p{L}]*$", 1)).cast("binary")) % 256).cast("string")),
+        F.concat(F.lit("word:"), (F.crc32(word.cast("binary")) % 256).cast("string")),
     )
 
 
@@ -269,4 +270,6 @@ def find_pii(
         return F.filter(spans, lambda s: F.when(s["base"], True).when(s["score"] < settings.accept, False).otherwise(free(s)))
 
     none = F.array().cast("array<struct<place:int,start:int,end:int,kind:string,base:boolean,score:double>>")
-    return joined.select(id_col, F.when((F.size("found") > 0) & F.col("models").isNotNull(), F.array_distinct(let(F.transform("found", scored), kept))).otherwise(none).alias("spans"))
+    spans = F.array_distinct(let(F.transform("found", scored), kept))
+    some = (F.size("found") > 0) & F.col("models").isNotNull()
+    return joined.select(id_col, F.when(some, spans).otherwise(none).alias("spans"))

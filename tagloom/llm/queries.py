@@ -71,7 +71,13 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_secrets, op3_toxicity, op4_near_duplicates, op5_pii, op6_decontamination, op7_passages, op8_neighbours, op9_url_filter, op10_language_model)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_bpe, op2_secrets, op3_toxicity, op4_near_duplicates, op5_pii, op6_decontamination, op7_passages, op8_neighbours,
+        op9_url_filter, op10_language_model,
+    )
+}
 SQL = {
     "op4_near_duplicates": twins.NEAR_DUPLICATES,
     "op7_passages": twins.PASSAGES,
