@@ -23,7 +23,7 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from tagloom.llm.common import id_and_text
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 CELLS = 1 << 20  # cells of one block of trees
 CHUNK_CHARS = 1 << 20  # text handled at once
 NONE = np.iinfo(np.int64).max

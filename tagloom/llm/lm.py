@@ -28,7 +28,7 @@ from tagloom.llm.common import id_and_text, remainder, stored
 from tagloom.llm.words import WORDS, fold
 
 END = ""  # no word is empty
-COUNTED = 400_000  # distinct words a task holds before it passes counts on
+COUNTED = 250_000  # distinct words a task holds before it passes counts on
 
 
 @dataclass(frozen=True)

@@ -12,7 +12,7 @@ from tagloom.llm.common import WORD
 WORDS = re.compile(WORD)
 UPPERS = re.compile("[A-Z]+")
 BASE = 0x9E3779B97F4A7C15  # odd, so that powers of it keep all bits
-CACHED = 400_000
+CACHED = 300_000
 
 
 def fold(text: str) -> str:
