@@ -22,7 +22,6 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,24 +82,35 @@ def stretches(words: np.ndarray, lanes: dict[int, tuple], s: PassageSettings) ->
 
 
 class Windows:
-    """All windows of the stretches of one group."""
+    """All windows of the stretches of one group, which lie one after another in ``words``.
+
+    ``inside`` says at which words a window starts that stays in its stretch;
+    ``hash``, ``id`` and ``at`` (its place in the document) go by word.
+    """
 
     def __init__(self, pdf: pd.DataFrame, s: PassageSettings):
-        parts = [np.frombuffer(b, dtype=np.uint64) for b in pdf["words"]]
-        self.parts = parts
-        self.hash = np.concatenate([rolling(p, s.window) for p in parts])
-        self.rows = np.concatenate([sliding_window_view(p, s.window) for p in parts])
-        counts = [len(p) - s.window + 1 for p in parts]
-        self.id = np.repeat(pdf["id"].to_numpy(), counts)
-        self.at = np.concatenate([np.arange(n) + b for n, b in zip(counts, pdf["start"], strict=True)])
+        self.s = s
+        self.words = np.frombuffer(b"".join(pdf["words"]), dtype=np.uint64)
+        size = np.array([len(b) // 8 for b in pdf["words"]])
+        first = np.repeat(np.cumsum(size) - size, size)
+        count = len(self.words) - s.window + 1
+        place = (np.arange(len(self.words)) - first)[:count]
+        self.inside = place <= np.repeat(size, size)[:count] - s.window
+        self.hash = rolling(self.words, s.window)
+        self.id = np.repeat(pdf["id"].to_numpy(), size)[:count]
+        self.at = place + np.repeat(pdf["start"].to_numpy(), size)[:count]
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the first occurrence of each distinct window, and numbers of occurrences."""
-        order = np.lexsort((self.at, self.id, self.hash))
-        h = self.hash[order]
-        head = np.concatenate([[True], h[1:] != h[:-1]])
-        first = np.flatnonzero(head)
-        return order[first], np.diff(np.append(first, len(h)))
+        """Words at which distinct windows start first, and numbers of occurrences."""
+        own = np.flatnonzero(self.inside)
+        own = own[np.lexsort((self.at[own], self.id[own], self.hash[own]))]
+        h = self.hash[own]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        return own[first], np.diff(np.append(first, len(h)))
+
+    def rows(self, starts: np.ndarray) -> np.ndarray:
+        """Words of the windows that start at some words."""
+        return self.words[starts[:, None] + np.arange(self.s.window)]
 
 
 def as_text(words: np.ndarray) -> str:
@@ -124,37 +134,33 @@ def automata(phrases: np.ndarray, s: PassageSettings) -> Iterator[ahocorasick.Au
 
 
 def marked_ranges(
-    pdf: pd.DataFrame, phrases: np.ndarray, hashes: np.ndarray, ids: np.ndarray, starts: np.ndarray, s: PassageSettings
+    seen: Windows, phrases: np.ndarray, hashes: np.ndarray, ids: np.ndarray, starts: np.ndarray, s: PassageSettings
 ) -> pd.DataFrame:
     """Ranges of words that phrases cover, first occurrences left out, in all stretches of a group.
 
     ``hashes``, ``ids`` and ``starts`` are those of the phrases and their first
-    occurrences. Equal stretches are streamed once.
+    occurrences. What an automaton finds across the ends of two stretches is
+    no window and drops out.
     """
+    text = as_text(seen.words)
+    found = [np.empty(0, np.int64)]
+    for automaton in automata(phrases, s):
+        found.append(np.fromiter((end for end, _ in automaton.iter(text)), dtype=np.int64) - s.window + 1)
+    at = np.unique(np.concatenate(found))
+    at = at[seen.inside[at]]
+    if not len(at):
+        return pd.DataFrame({"id": at, "start": at, "end": at}).astype({"start": "int32", "end": "int32"})
     order = np.argsort(hashes, kind="stable")
     hashes, ids, starts = hashes[order], ids[order], starts[order]
-    hits: dict[bytes, list[np.ndarray]] = {b: [] for b in pdf["words"]}
-    for automaton in automata(phrases, s):
-        for b, found in hits.items():
-            text = as_text(np.frombuffer(b, dtype=np.uint64))
-            found.append(np.fromiter((end for end, _ in automaton.iter(text)), dtype=np.int64))
-    out: list[tuple[int, int, int]] = []
-    located = {}
-    for b, found in hits.items():
-        at = np.unique(np.concatenate(found)) - s.window + 1 if found else np.empty(0, np.int64)
-        exact = rolling(np.frombuffer(b, dtype=np.uint64), s.window)[at]
-        phrase = np.minimum(np.searchsorted(hashes, exact), max(0, len(hashes) - 1))
-        good = hashes[phrase] == exact if len(hashes) else np.zeros(0, dtype=bool)
-        located[b] = at[good], phrase[good]
-    for b, doc, start in zip(pdf["words"], pdf["id"].tolist(), pdf["start"].tolist(), strict=True):
-        at, phrase = located[b]
-        later = (ids[phrase] < doc) | ((ids[phrase] == doc) & (starts[phrase] < start + at))
-        at = at[later] + start
-        if len(at):
-            cuts = np.flatnonzero(at[1:] > at[:-1] + s.window) + 1
-            low, high = at[np.concatenate([[0], cuts])], at[np.concatenate([cuts - 1, [-1]])] + s.window
-            out += [(doc, a, z) for a, z in zip(low.tolist(), high.tolist(), strict=True)]
-    return pd.DataFrame(out, columns=["id", "start", "end"]).astype({"id": "int64", "start": "int32", "end": "int32"})
+    phrase = np.minimum(np.searchsorted(hashes, seen.hash[at]), len(hashes) - 1)
+    doc, start = seen.id[at], seen.at[at]
+    later = (ids[phrase] < doc) | ((ids[phrase] == doc) & (starts[phrase] < start))
+    chosen = np.flatnonzero((hashes[phrase] == seen.hash[at]) & later)
+    chosen = chosen[np.lexsort((start[chosen], doc[chosen]))]
+    doc, start = doc[chosen], start[chosen]
+    cut = np.flatnonzero((doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + s.window)) + 1
+    low, high = np.concatenate([[0], cut])[: len(doc)], np.concatenate([cut - 1, [len(doc) - 1]])[: len(doc)]
+    return pd.DataFrame({"id": doc[low], "start": start[low], "end": start[high] + s.window}).astype({"start": "int32", "end": "int32"})
 
 
 def repeated_ranges(docs: DataFrame, settings: PassageSettings = PassageSettings()) -> DataFrame:
@@ -228,7 +234,7 @@ def repeated_ranges(docs: DataFrame, settings: PassageSettings = PassageSettings
         first, times = seen.distinct()
         return pd.DataFrame({
             "owner": pdf["owner"].iloc[0], "hash": seen.hash[first].astype(np.int64), "n": times.astype(np.int64),
-            "id": seen.id[first], "start": seen.at[first], "words": [r.tobytes() for r in seen.rows[first]],
+            "id": seen.id[first], "start": seen.at[first], "words": [r.tobytes() for r in seen.rows(first)],
         })
 
     hot = runs.where("hot")
@@ -243,15 +249,15 @@ def repeated_ranges(docs: DataFrame, settings: PassageSettings = PassageSettings
     def mark(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
             return right[["id", "start"]].head(0).assign(end=0).astype({"id": "int64", "start": "int32", "end": "int32"})
+        seen = Windows(left, s)
         if left["hot"].iloc[0]:
             rows = np.frombuffer(b"".join(right["words"]), dtype=np.uint64).reshape(-1, s.window)
             first = right["hash"].to_numpy().astype(np.uint64), right["id"].to_numpy(), right["start"].to_numpy()
         else:
-            seen = Windows(left, s)
             place, times = seen.distinct()
             place = place[times > 1]
-            rows, first = seen.rows[place], (seen.hash[place], seen.id[place], seen.at[place])
-        return marked_ranges(left, rows, *first, s)
+            rows, first = seen.rows(place), (seen.hash[place], seen.id[place], seen.at[place])
+        return marked_ranges(seen, rows, *first, s)
 
     marked = runs.groupBy("owner", "part", "hot").cogroup(phrases.groupBy("of_owner", "of_part", "of_hot")).applyInPandas(
         mark, "id long, start int, end int"
