@@ -33,8 +33,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicates only the document with the smallest id stays."""
-    found = setsketch.near_duplicates(docs)
+    """Of each component of documents that are alike to 0.8 or more only the one with the smallest id stays."""
+    found = setsketch.near_duplicates(docs, setsketch.FOUR_FIFTHS)
     return without(docs, found.where("not kept"))
 
 

@@ -37,7 +37,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), setsketch.SketchSettings(percent=85))
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,12 @@
+import random
+
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline as p
 
 from ..check import compare, duck
+from .test_setsketch import edited, shingles
 
 SF = "/root/testdata/sf0.001"
 SIZES = {"op8_neighbours": "embeddings", "op9_url_filter": "pages"}
@@ -55,3 +58,27 @@ def test_redacted_texts(spark, docs):
     rows = {r.doc_id: r for r in p.redact_secrets(spark, df, SF).collect()}
     assert rows[0].text == "a [SECRET] b" and rows[0].n_chars == 12
     assert rows[1].text is None and rows[2].text == "clean" and rows[2].n_chars == 7
+
+
+def test_near_duplicates_from_four_fifths(spark, docs):
+    """Against all pairs: what is alike to 0.80 falls, what is alike to less stays."""
+    rng = random.Random(80)
+    texts = [None, "", "one", "ONE"]
+    for _ in range(8):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([100, 150]))]
+        texts += [" ".join(words), edited(rng, words, 2), edited(rng, words, 3), edited(rng, words, 5)]
+    # 90 shingles, and the first 72 or 71 of them: exactly 0.80 and just below
+    words = [f"x{i}" for i in range(94)]
+    texts += [" ".join(words), " ".join(words[:76])]
+    words = [f"y{i}" for i in range(94)]
+    texts += [" ".join(words), " ".join(words[:75])]
+    sets = [shingles(x) for x in texts]
+    shares = {(i, j): len(a & b) / len(a | b) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a & b}
+    assert 0.8 in shares.values() and any(0.8 < x < 0.85 for x in shares.values()) and any(0.78 < x < 0.8 for x in shares.values())
+    up = list(range(len(texts)))
+    for (i, j), share in shares.items():
+        if share >= 0.8:
+            a, b = up[i], up[j]
+            up = [min(a, b) if x in (a, b) else x for x in up]
+    want = {i for i, top in enumerate(up) if i == top}
+    assert {r.doc_id for r in p.drop_near_duplicates(spark, docs(*texts), SF).collect()} == want
