@@ -7,23 +7,24 @@ length are compared, longer lengths first. The share of an item's words that
 tiles cover does not depend on the order in which a document brings its
 passages, so reordered items are caught.
 
-Documents are read once and not shuffled. Items are taken in blocks of bounded
-size, each block held by every task that reads documents; more items mean
-more blocks, not larger tasks.
+Documents are not shuffled. Items are taken in blocks of bounded size, each
+block held by every task that reads documents. If there are several, each has
+a run of its own, which writes what it hits before the next one starts: tasks
+hold one block and the driver at most two.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import id_and_text
+from tagloom.llm.common import id_and_text, stored
 from tagloom.llm.words import WordHasher, rolling
 
 HITS = "array<struct<item_id:long,coverage:double,tiles:int>>"
@@ -205,9 +206,25 @@ def find_contaminated(
         schema = f"`{id_col}` {rows.schema[id_col].dataType.simpleString()}, text string, hits {HITS}"
         return frame.mapInArrow(run, schema)
 
-    none = F.array().cast(HITS)
+    rows_of = rows.withColumn("hits", F.array().cast(HITS))
     blocks = blocks_of(benchmark, s, item_col, item_text_col)
-    found = reduce(lambda frame, block: hits_of(block, frame), blocks, rows.withColumn("hits", none))
+    pending = list(islice(blocks, 2))
+    if len(pending) < 2:
+        found = hits_of(pending[0], rows_of) if pending else rows_of
+    else:
+        # Hits depend on the text alone, so those of a block are kept once for each text that has some.
+        parts, n = None, 0
+        while pending:
+            hit = hits_of(pending.pop(0), rows_of).where(F.size("hits") > 0)
+            hit = hit.groupBy(F.sha2("text", 256).alias("key")).agg(F.first("hits").alias("hits"))
+            part = stored(hit.select("key", F.lit(n).alias("block"), "hits"), "tiling-hits")
+            parts = part if parts is None else parts.union(part)
+            pending += islice(blocks, 1)
+            n += 1
+        merged = parts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("block", "hits"))).alias("of"))
+        merged = merged.select("key", F.flatten("of.hits").alias("hits"))
+        keyed = rows.select(id_col, F.sha2("text", 256).alias("key"))
+        found = keyed.join(merged, "key", "left").select(id_col, F.coalesce("hits", F.array().cast(HITS)).alias("hits"))
     best = F.try_element_at(
         F.array_sort("hits", lambda a, b: F.when(a["coverage"] > b["coverage"], -1).when(a["coverage"] < b["coverage"], 1)
                      .when(a["item_id"] < b["item_id"], -1).when(a["item_id"] > b["item_id"], 1).otherwise(0)), F.lit(1)

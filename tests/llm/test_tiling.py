@@ -68,3 +68,17 @@ def test_odd_rows(spark, odd, empty, docs):
     assert len(rows) == 8 and sorted(r.doc_id for r in rows if r.contaminated) == [4, 4, 6]
     assert t.find_contaminated(empty, table).count() == 0
     assert t.find_contaminated(docs("a"), table.limit(0)).first().contaminated is False
+
+
+def test_a_task_holds_one_block(spark, docs):
+    """Several blocks give what one gives, and none of them stays in the plan of the result."""
+    rng = random.Random(4)
+    items = [" ".join(rng.choice(VOCABULARY) for _ in range(n)) for n in (30, 30, 25, 40, 3)]
+    texts = [None, "", items[0], items[0], f"{items[3]} x {items[1]} y {items[0]}", f"{items[2]} {items[4]}", "none of them"]
+    df = docs(*texts).union(docs(items[1]))  # id 0 twice, with other texts
+    table = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    one, many = (t.find_contaminated(df, table, t.TilingSettings(block_words=n)) for n in (2_000_000, 40))
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan
+    rows = lambda f: sorted((r.doc_id, r.contaminated, r.item_id or 0, r.coverage or 0, sorted(r.hits)) for r in f.collect())
+    assert rows(many) == rows(one) and sum(r[1] for r in rows(one)) == 5
