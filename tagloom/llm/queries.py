@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, lm, passages, pii, rabitq, secrets, setsketch, tiling, toxicity, twins, urls
+from tagloom.llm import bpe, lm, passages, pii, rabitq, secrets, setsketch, splitters, tiling, toxicity, twins, urls
 from tagloom.llm.spans import count_of, joined
 
 VOCABULARY = "word_bpe_49k.json"
@@ -71,15 +71,21 @@ def op10_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = splitters.shard_rows(table(spark, sf_dir, "documents"))
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_bpe, op2_secrets, op3_toxicity, op4_near_duplicates, op5_pii, op6_decontamination, op7_passages, op8_neighbours,
-        op9_url_filter, op10_language_model,
+        op9_url_filter, op10_language_model, op11_sharding,
     )
 }
 SQL = {
     "op4_near_duplicates": twins.NEAR_DUPLICATES,
     "op7_passages": twins.PASSAGES,
     "op9_url_filter": twins.URL_FILTER,
+    "op11_sharding": twins.SHARDING,
 }

@@ -65,3 +65,19 @@ share as (select host, t, (bad+10*prior)/(labelled+10) as share from merged join
 select page_id, host, path, rule, coalesce(ruled, case when share>0.5 then 'block' else 'allow' end) as verdict,
  '/'||array_to_string(t,'/') as template, round(share,9) as share
 from urls left join template using (host, segs) left join share using (host, t)"""
+
+# CRC-32 a byte at a time, by a table made from its polynomial.
+SHARDING = """
+with crc as (select list(list_reduce(list_prepend(i::bigint, range(8)::bigint[]),
+  lambda x, k: case when x % 2 = 1 then xor(x >> 1, 3988292384) else x >> 1 end) order by i) as t
+  from (select unnest(range(256)) as i)),
+d as (select doc_id, coalesce(text,'') as text, hex(encode(coalesce(text,''))) as h from documents),
+r as (select doc_id, cast(octet_length(encode(text))+8 as bigint) as size, ('0x'||substr(md5(text),1,15))::bigint as key,
+  cast(xor(list_reduce(list_prepend(4294967295::bigint, list_transform(regexp_extract_all(h,'..'), lambda b: ('0x'||b)::bigint)),
+  lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) as bigint) as text_crc32 from d, crc),
+o as (select *, sum(size) over () as total, row_number() over w as rank, sum(size) over w - size as start
+  from r window w as (order by key, doc_id nulls first rows unbounded preceding)),
+g as (select *, sum(size) over (partition by key) as copies, min(start) over (partition by key) as first from o),
+s as (select *, case when copies*24*100<=total then 24*(2*first+copies)//(2*total) else 24*(2*start+size)//(2*total) end as shard from g)
+select doc_id, size, text_crc32, 'bytes' as law, cast(shard as int) as shard,
+  cast(rank - min(rank) over (partition by shard) as bigint) as slot, cast(null as int) as grown_shard from s"""
