@@ -110,9 +110,11 @@ def shard_rows(
     at = point(F.col("key"), F.col("id"))
 
     def loads() -> list[float]:
+        """Load of each range without its largest record, which no boundary can divide."""
         out = [0.0] * (size + 1)
-        for r in keyed.groupBy(range_of(at, bounds, size).alias("range")).agg(F.sum(load).alias("load")).collect():
-            out[r["range"]] = r["load"]
+        rest = (F.sum(load) - F.max(load)).alias("rest")
+        for r in keyed.groupBy(range_of(at, bounds, size).alias("range")).agg(rest).collect():
+            out[r["range"]] = r["rest"]
         return out
 
     limit = s.overfull / ranges
