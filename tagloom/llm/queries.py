@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, lm, passages, pii, rabitq, secrets, setsketch, splitters, tiling, toxicity, twins, urls
+from tagloom.llm import bpe, lm, passages, phrases, pii, rabitq, secrets, setsketch, splitters, tiling, toxicity, twins, urls
 from tagloom.llm.spans import count_of, joined
 
 VOCABULARY = "word_bpe_49k.json"
@@ -76,11 +76,15 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents")).drop("place")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_bpe, op2_secrets, op3_toxicity, op4_near_duplicates, op5_pii, op6_decontamination, op7_passages, op8_neighbours,
-        op9_url_filter, op10_language_model, op11_sharding,
+        op9_url_filter, op10_language_model, op11_sharding, op12_phrases,
     )
 }
 SQL = {
@@ -88,4 +92,5 @@ SQL = {
     "op7_passages": twins.PASSAGES,
     "op9_url_filter": twins.URL_FILTER,
     "op11_sharding": twins.SHARDING,
+    "op12_phrases": twins.PHRASES,
 }

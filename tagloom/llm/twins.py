@@ -81,3 +81,22 @@ g as (select *, sum(size) over (partition by key) as copies, min(start) over (pa
 s as (select *, case when copies*24*100<=total then 24*(2*first+copies)//(2*total) else 24*(2*start+size)//(2*total) end as shard from g)
 select doc_id, size, text_crc32, 'bytes' as law, cast(shard as int) as shard,
   cast(rank - min(rank) over (partition by shard) as bigint) as slot, cast(null as int) as grown_shard from s"""
+
+PHRASES = f"""
+with p as (select coalesce(lang,'und') as lang, unnest(string_split_regex({LOWER},'[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece,'[^\x20\x09]+') as w from p),
+total as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang),
+heads as (select lang, w, unnest(range(1,len(w)+1)) as i from w),
+runs as (select lang, w, i, unnest(range(1,least(4,len(w)-i+1)+1)) as k from heads),
+f as (select lang, array_to_string(list_slice(w,i,i+k-1),' ') as phrase, k, count(*) as f from runs group by all having count(*)>=30),
+c as (select lang, phrase, string_split(phrase,' ') as w, k, f from f where k>1),
+cuts as (select lang, phrase, f as a, unnest(range(1,k)) as j, w, k from c),
+scored as (select c.lang, c.phrase, j, a, l.f as l, r.f as r, cast(2000000*a::hugeint//(l.f+r.f) as bigint) as score from cuts c
+  join f l on l.lang=c.lang and l.phrase=array_to_string(list_slice(w,1,j),' ')
+  join f r on r.lang=c.lang and r.phrase=array_to_string(list_slice(w,j+1,c.k),' ')),
+weakest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, j)=1),
+inside as (select distinct a.lang, a.phrase from c a join c b on a.lang=b.lang and b.k>a.k
+  and contains(' '||b.phrase||' ', ' '||a.phrase||' ') and 100*b.f>=80*a.f),
+best as (select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, score
+  from weakest anti join inside using (lang, phrase) qualify rank<=2000)
+select lang, rank, phrase, a, l, r, n, score from best join total using (lang)"""
