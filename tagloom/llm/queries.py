@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import bpe, lm, passages, phrases, pii, rabitq, secrets, setsketch, splitters, tiling, toxicity, twins, urls
+from tagloom.llm import bpe, lm, passages, phrases, pii, rabitq, secrets, setsketch, splitters, tiling, toxicity, twins, urls, whitening
 from tagloom.llm.spans import count_of, joined
 
 VOCABULARY = "word_bpe_49k.json"
@@ -80,11 +80,15 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents")).drop("place")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_bpe, op2_secrets, op3_toxicity, op4_near_duplicates, op5_pii, op6_decontamination, op7_passages, op8_neighbours,
-        op9_url_filter, op10_language_model, op11_sharding, op12_phrases,
+        op9_url_filter, op10_language_model, op11_sharding, op12_phrases, op13_whitening,
     )
 }
 SQL = {
