@@ -64,7 +64,7 @@ def test_against_brute_force(spark, seed, bits, block):
     got, full = run(spark, rows, s)
     assert got == brute(rows, s) and len(got) > 40
     for r in full[::7]:  # the phrase stands where the operator says
-        text = rows[r.place.doc][1].translate(UPPERS).encode()[r.place.at :].decode()
+        text = rows[r.place.id][1].translate(UPPERS).encode()[r.place.at :].decode()
         assert " ".join(re.findall(r"[^\x20\x09]+", text)).startswith(r.phrase)
 
 
@@ -98,7 +98,7 @@ def test_filter_never_forgets(spark):
 
     prints = np.random.default_rng(1).integers(0, 1 << 63, 200_000).astype(np.int64)
     df = spark.createDataFrame([(int(x),) for x in prints[:50_000]], "print long")
-    for bits in (1 << 19, 1 << 28):
+    for bits in (1 << 19, 1 << 28):  # the smallest there is, and as large as it takes
         known = ph.build_filter(df, ph.PhraseSettings(filter_bits=bits))
         assert known.has(prints[:50_000].view(np.uint64)).all()
     assert known.has(prints[50_000:].view(np.uint64)).mean() < 0.05
