@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from ..functions import keys, text
-from ..session import BROADCAST_ROWS
+from ..session import BROADCAST_ROWS, LITERALS, named_values, settle
 
 # The id types of a project, by number, and the log kinds.
 ID_COLUMNS = ("cid", "creative_id")
@@ -21,7 +22,7 @@ KINDS = ("imp", "clk")
 FOLDERS = ("campaign", "log_kind", "log_day")
 
 # Ids that may become a literal scan filter; a limit of the plan only, the join decides on the rows.
-FILTER_IDS = 1_000
+FILTER_IDS = LITERALS
 
 
 @dataclass(frozen=True)
@@ -73,8 +74,7 @@ def _project_days(logs: DataFrame, projects: Sequence[Project]) -> DataFrame:
     """``(slot, project, kind, day, id_type, id)``, one row per day, broadcast if few enough."""
     rows = []
     for slot, p in enumerate(projects):
-        numeric = isinstance(logs.schema[p.id_column].dataType, IntegralType)
-        wanted = dict.fromkeys(str(int(x)) if numeric else x for x in p.ids)
+        wanted = dict.fromkeys(str(int(x)) if _is_number(logs, p.id_column) else x for x in p.ids)
         rows += [(slot, p.name, k, p.id_column, x, p.start, p.end) for k in p.kinds for x in wanted]
     schema = "slot int, project string, kind string, id_type string, id string, start string, end string"
     days = F.explode(text.date_range("start", "end")).alias("day")
@@ -85,34 +85,59 @@ def _project_days(logs: DataFrame, projects: Sequence[Project]) -> DataFrame:
 
 
 def _candidates(logs: DataFrame, projects: Sequence[Project]) -> DataFrame:
-    """Log rows any project could want, by literal filters that reach the scan."""
-    kept = logs.where(
+    """Log rows of kinds and days any project could want, by literal filters that reach the scan."""
+    return logs.where(
         F.col("day").between(min(p.start for p in projects), max(p.end for p in projects))
         & F.col("kind").isin(*{k for p in projects for k in p.kinds})
     )
-    wanted = {c: {x for p in projects if p.id_column == c for x in p.ids} for c in ID_COLUMNS}
-    if sum(map(len, wanted.values())) > FILTER_IDS:
-        return kept
+
+
+def _is_number(logs: DataFrame, column: str) -> bool:
+    return isinstance(logs.schema[column].dataType, IntegralType)
+
+
+def _with_any_id(logs: DataFrame, projects: Sequence[Project]) -> DataFrame:
+    """Log rows with an id any project wants, by a literal filter."""
     any_id = F.lit(False)
-    for column, ids in wanted.items():
+    for column in ID_COLUMNS:
+        ids = sorted({x for p in projects if p.id_column == column for x in p.ids})
         if ids:
-            numeric = isinstance(logs.schema[column].dataType, IntegralType)
-            any_id = any_id | F.col(column).isin(*[int(x) if numeric else x for x in sorted(ids)])
-    return kept.where(any_id)
+            any_id = any_id | F.col(column).isin(*[int(x) if _is_number(logs, column) else x for x in ids])
+    return logs.where(any_id)
+
+
+def _by_id_type(logs: DataFrame, config: DataFrame, used: Sequence[str]) -> DataFrame:
+    """Matches of long lists of ids, one join for each id type.
+
+    The ids keep the column's own type and are written down first. Their size
+    is known then, so Spark broadcasts them or, where both sides are
+    shuffled, lets their bloom filter drop other rows at the scan.
+    """
+    wanted = settle(config, "project-days")
+    found = []
+    for column in used:
+        ids = F.col("id").cast(logs.schema[column].dataType).alias(column)
+        mine = named_values(wanted, "kind").where(F.col("id_type") == column).select("slot", "project", "kind", "day", ids)
+        found.append(logs.join(mine, ["kind", "day", column]).select("slot", "project", *logs.columns))
+    return reduce(DataFrame.unionByName, found)
 
 
 def campaign_filter(logs: DataFrame, projects: Sequence[Project]) -> DataFrame:
     """Log rows wanted by the projects, with ``slot`` (position) and ``project``.
 
     One scan serves all projects and days. Every id type becomes a row of
-    ``(id_type, id)``, so the match is an equi-join. A row that several
-    projects want appears once for each.
+    ``(id_type, id)``, so the match is an equi-join. Beyond ``FILTER_IDS`` ids
+    there is one scan, and one join, for each id type. A row that several projects
+    want appears once for each.
     """
     if not any(p.kinds for p in projects):
         return logs.where(F.lit(False)).select(F.lit(0).alias("slot"), F.lit("").alias("project"), "*")
     used = [c for c in ID_COLUMNS if any(p.id_column == c for p in projects)]
+    candidates = _candidates(logs, projects)
+    if len({(p.id_column, x) for p in projects for x in p.ids}) > FILTER_IDS:
+        return _by_id_type(candidates, _project_days(logs, projects), used)
     ids = F.explode(F.array(*[F.struct(F.lit(c).alias("id_type"), F.col(c).cast("string").alias("id")) for c in used]))
-    keyed = _candidates(logs, projects).select("*", ids.alias("match")).select("*", "match.*").drop("match")
+    keyed = _with_any_id(candidates, projects).select("*", ids.alias("match")).select("*", "match.*").drop("match")
     matched = keyed.join(_project_days(logs, projects), ["kind", "day", "id_type", "id"])
     return matched.select("slot", "project", *logs.columns)
 

@@ -15,16 +15,13 @@ changes nothing, so a job that lost executors can simply run again.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..functions.text import split_tag_list
 from ..schema import CELL_ID, CELLS, FAMILY, MUTATIONS, PRESENT
 
-# Where a compacted log keeps the list of files it was made from; readers of the log skip it.
-SNAPSHOT = "_snapshot"
-
 PUT, DELETE_ROW, DELETE_COLUMN, DELETE_VERSION = "put", "delete_row", "delete_column", "delete_version"
 
 
@@ -125,33 +122,23 @@ def _without_versions(log: DataFrame) -> DataFrame:
     return log.where(F.col("op") == PUT).join(dead, [*CELL_ID, "ts"], "left_anti")
 
 
-def _row_deletes(log: DataFrame) -> DataFrame:
+def row_deletes(log: DataFrame) -> DataFrame:
+    """The newest delete of every row that has one."""
     return (
         log.where(F.col("op") == DELETE_ROW).groupBy("row_key").agg(F.max("ts").alias("row_deleted_at"))
     )
 
 
-def _column_deletes(log: DataFrame) -> DataFrame:
+def column_deletes(log: DataFrame) -> DataFrame:
+    """The newest delete of every cell that has one."""
     return log.where(F.col("op") == DELETE_COLUMN).groupBy(*CELL_ID).agg(F.max("ts").alias("column_deleted_at"))
 
 
-def _outlives(marker: str):
+def outlives(marker: str) -> Column:
+    """Whether a version is younger than a delete that may be there."""
     return F.col(marker).isNull() | (F.col("ts") > F.col(marker))
 
 
-def visible_versions(log: DataFrame) -> DataFrame:
-    """Every version no delete hides: what a compaction keeps."""
-    return (
-        _without_versions(log)
-        .join(_column_deletes(log), CELL_ID, "left")
-        .where(_outlives("column_deleted_at"))
-        .join(_row_deletes(log), "row_key", "left")
-        .where(_outlives("row_deleted_at"))
-        .select(*CELLS.fieldNames())
-        .distinct()
-    )
-
-
 def current_state(log: DataFrame) -> DataFrame:
     """The newest visible version of every cell.
 
@@ -170,11 +157,11 @@ def current_state(log: DataFrame) -> DataFrame:
         )
         .where(F.col("newest").isNotNull())
         .select(*CELL_ID, "newest.ts", "newest.value", "column_deleted_at")
-        .where(_outlives("column_deleted_at"))
+        .where(outlives("column_deleted_at"))
     )
     return (
-        folded.join(_row_deletes(log), "row_key", "left")
-        .where(_outlives("row_deleted_at"))
+        folded.join(row_deletes(log), "row_key", "left")
+        .where(outlives("row_deleted_at"))
         .select(*CELLS.fieldNames())
     )
 
@@ -192,30 +179,6 @@ def upsert_cells(mutations: DataFrame, path: str) -> None:
     mutations.write.mode("append").partitionBy("op").parquet(path)
 
 
-def read_log(spark: SparkSession, path: str, files: list[str] | None = None) -> DataFrame:
-    """A log, or only some of its files."""
-    read = spark.read.schema(MUTATIONS).option("basePath", path)
-    return read.parquet(*(files or [path])).select(*MUTATIONS.fieldNames())
-
-
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Write the visible versions of a log as a new log; the old one stays for its readers.
-
-    The files that made it are listed below the target first. Batches that
-    come to the old log later are not among them, and ``read_compacted`` folds
-    them in.
-    """
-    if path.rstrip("/") == target.rstrip("/"):
-        raise ValueError("compact into a new folder, not into the log being read")
-    files = sorted(read_log(spark, path).inputFiles())
-    spark.createDataFrame([(f,) for f in files], "value string").write.mode("errorifexists").text(f"{target}/{SNAPSHOT}")
-    visible = puts_of(visible_versions(read_log(spark, path, files)))
-    visible.write.mode("append").partitionBy("op").parquet(target)
-
-
-def read_compacted(spark: SparkSession, target: str, path: str) -> DataFrame:
-    """A compacted log, with the batches that came to the old log at ``path`` after its snapshot."""
-    known = {r.value for r in spark.read.text(f"{target}/{SNAPSHOT}").collect()}  # names of files
-    late = sorted(set(read_log(spark, path).inputFiles()) - known)
-    log = read_log(spark, target)
-    return log.unionByName(read_log(spark, path, late)) if late else log
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """A log of batches."""
+    return spark.read.schema(MUTATIONS).parquet(path).select(*MUTATIONS.fieldNames())

@@ -45,8 +45,15 @@ def vendor_updates(cells: DataFrame, prefix: str = "kd") -> DataFrame:
 
 
 def time_range_updates(cells: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
-    """Updates of current cells with ``start_ms <= timeStamp < end_ms``."""
-    return flat_updates(cells).where((F.col("timeStamp") >= start_ms) & (F.col("timeStamp") < end_ms))
+    """Updates of current cells with ``start_ms <= timeStamp < end_ms``.
+
+    The lower bound also goes below the fold of versions, to the scan: what it
+    takes away is older than the newest version of any cell that counts. The
+    upper bound may not, as it would show cells by an older version. A table
+    written in order of time (``write_cells``) skips the row groups before the range.
+    """
+    recent = flat_updates(cells.where(F.col("ts") >= start_ms))
+    return recent.where(F.col("timeStamp") < end_ms)
 
 
 def prefix_scan_keys(cells: DataFrame, prefix: str) -> DataFrame:

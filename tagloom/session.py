@@ -12,11 +12,20 @@ from pyspark.sql import functions as F
 # only the join strategy differs, never the rows.
 BROADCAST_ROWS = 100_000
 
+# Keys or ids that may stand in a plan as literals; a limit of the plan only.
+LITERALS = 1_000
+
 RUNTIME_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a join with a list of keys or ids sends their bloom filter to the scan of the large side
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64MB",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
+    # lists of so many literals reach Parquet as equalities, which its filters can answer, not as a range
+    "spark.sql.parquet.pushdown.inFilterThreshold": str(LITERALS),
 }
 
 # Settled when a session starts: no stack walk for every column expression built.
@@ -65,6 +74,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def named_values(df: DataFrame, column: str) -> DataFrame:
+    """Rows whose value is neither null nor empty; nothing matches those.
+
+    The filter also tells Spark that a join with these rows is selective, so that it
+    prepares a bloom filter of them where both sides have to be shuffled.
+    """
+    return df.where(F.col(column) != "")
+
+
 def listed(spark: SparkSession, values: list[str], column: str) -> DataFrame:
     """A one-column frame of driver-side values, broadcast only if it is short."""
     frame = spark.createDataFrame([(v,) for v in values], f"{column} string")

@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from ..schema import CELL_ID, CELLS
 
 
+# Row groups say which keys they may hold, so that a lookup skips those that do not have its key.
+KEY_FILTER = {"parquet.bloom.filter.enabled#row_key": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+# Bytes of a row group: small enough that skipping one counts.
+ROW_GROUP = {"parquet.block.size": str(32 << 20)}
+
+
 def scan_cells(spark: SparkSession, path: str) -> DataFrame:
     """All versions of all cells below a path."""
     return spark.read.schema(CELLS).parquet(path)
@@ -38,10 +45,12 @@ def write_cells(cells: DataFrame, path: str, order: tuple[str, ...] = ("row_key"
     """Write cells sorted over the whole dataset, so that readers skip row groups.
 
     Key order serves lookups; ``("qualifier", "row_key", "ts")`` serves prefix
-    scans. All three columns take part, so one hot key or tag still spreads
-    over several ranges.
+    scans, and ``("ts", "row_key", "qualifier")`` time ranges. All three columns take
+    part, so one hot key or tag still spreads over several ranges. In every order
+    row groups carry a bloom filter of their keys.
     """
-    cells.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    ordered = cells.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.write.mode("overwrite").options(**KEY_FILTER, **ROW_GROUP).parquet(path)
 
 
 def write_clustered_table(cells: DataFrame, table: str, buckets: int, path: str | None = None) -> None:

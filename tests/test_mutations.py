@@ -1,8 +1,9 @@
 import random
+from pathlib import Path
 
 import pytest
 
-from tagloom.operators import mutate
+from tagloom.operators import buckets, mutate
 from tagloom.operators.mutate import apply_mutations, current_state, delete_column, delete_rows, puts_of, put_cell
 
 from .conftest import rows
@@ -107,14 +108,101 @@ def test_fold_against_brute_force(spark, tmp_path, seed):
     newest = sorted((*cell, max(v), v[max(v)]) for cell, v in want.items() if v)
     stored = mutate.read_log(spark, path)
     assert rows(current_state(stored)) == newest
-    visible = {(*c[:4],) for c in rows(mutate.visible_versions(stored))}
-    assert visible == {(*cell, at) for cell, v in want.items() for at in v}
-    target = str(tmp_path / "compacted")
-    mutate.compact(spark, path, target)
-    assert rows(current_state(mutate.read_log(spark, target))) == newest
-    with pytest.raises(ValueError):
-        mutate.compact(spark, path, path)
-    batch = spark.createDataFrame([("put", "new", "cf", "kd_1", 99, "x", None)], mutate.MUTATIONS)
-    mutate.upsert_cells(batch, path)  # after the snapshot
-    both = mutate.read_compacted(spark, target, path)
-    assert rows(current_state(both)) == sorted([*newest, ("new", "cf", "kd_1", 99, "x")])
+    assert rows(current_state(buckets.folded(stored))) == newest
+
+
+def file_names(path):
+    """Data files by bucket folder."""
+    out = {}
+    for f in Path(path).glob("*/*.parquet"):
+        out.setdefault(f.parent.name, set()).add(f.name)
+    return out
+
+
+def store(spark, tmp_path, base, count=16):
+    b = buckets.Buckets(str(tmp_path / "table"), count)
+    staging = str(tmp_path / "staging")
+    buckets.fold_batch(spark, b, puts_of(base), 0, staging)
+    return b, staging
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_batches_folded_by_bucket(spark, tmp_path, seed):
+    """However the log is cut into batches, the state is that of the whole log; also with late puts of old times."""
+    rng = random.Random(seed)
+    log = []
+    for _ in range(800):
+        key, q, ts = rng.choice(["hot", "hot", *[f"k{i}" for i in range(30)]]), f"kd_{rng.randrange(3)}", rng.randrange(40)
+        op = rng.choice(["put"] * 12 + ["delete_version"] * 3 + ["delete_column", "delete_row"])
+        cell = (None, None) if op == "delete_row" else ("cf", q)
+        log.append((op, key, *cell, ts if op == "put" else ts // 3, str(rng.randrange(3)) if op == "put" else None, None))
+    b, staging = buckets.Buckets(str(tmp_path / "table"), 8), str(tmp_path / "staging")
+    for number in range(4):
+        batch = spark.createDataFrame(log[number * 200 : number * 200 + 200], mutate.MUTATIONS)
+        assert buckets.fold_batch(spark, b, batch, number, staging)
+    want = sorted((*cell, max(v), v[max(v)]) for cell, v in fold(log).items() if v)
+    assert rows(current_state(buckets.read_log(spark, b))) == want
+    held = buckets.read_stored(spark, b)
+    assert held.count() < len(log)  # hidden versions are gone
+    assert {r.batch for r in buckets.watermarks(spark, b).collect()} <= {0, 1, 2, 3}
+
+
+def test_only_touched_buckets_are_rewritten(spark, tmp_path, cells):
+    """A batch on one key in a hundred leaves the files of all other buckets as they are."""
+    base = cells(*[(f"key{i}", f"kd_{i % 5}", 1) for i in range(400)])
+    b, staging = store(spark, tmp_path, base, 64)
+    before = file_names(b.path)
+    assert len(before) > 50
+    some = [f"key{i}" for i in range(4)]
+    want = {r[0] for r in keyed(spark, *some).select(b.of("row_key")).collect()}
+    puts = puts_of(cells(*[(k, "kd_9", 5) for k in some]))
+    assert set(buckets.fold_batch(spark, b, puts, 1, staging)) == want
+    after = file_names(b.path)
+    changed = {name for name in before if before[name] != after[name]}
+    assert changed == {f"{b.column}={n}" for n in want} and len(changed) <= 4
+    assert rows(current_state(buckets.read_log(spark, b))) == rows(apply_mutations(base, puts))
+    assert {r.bucket: r.batch for r in buckets.watermarks(spark, b).collect() if r.batch} == dict.fromkeys(want, 1)
+
+
+def test_a_batch_that_died_is_run_again(spark, tmp_path, cells, monkeypatch):
+    base = cells(*[(f"key{i}", "kd_1", ts) for i in range(60) for ts in (1, 2)])
+    b, staging = store(spark, tmp_path, base)
+
+    def batch():  # made from the table itself
+        known = spark.createDataFrame([(f"key{i}",) for i in range(0, 60, 2)], "row_key string")
+        newest = current_state(buckets.read_log(spark, b).join(known, "row_key", "left_semi"))
+        return mutate._mutations(newest.withColumn("op", mutate.F.lit("delete_version")))
+
+    want = sorted((f"key{i}", "cf", "kd_1", 2 if i % 2 else 1, "1") for i in range(60))
+    # it died while the buckets were put in place: one is not there, one is the old one
+    real = buckets._write
+    kept = tmp_path / "kept"
+
+    def dying(rows, to, path):
+        if path == b.path:
+            real(rows.where(mutate.F.col(b.column) % 3 == 0), to, path)
+            gone = next(p for p in sorted(Path(b.path).iterdir()) if p.name.endswith("=1"))
+            gone.rename(kept)
+            raise RuntimeError("died")
+        real(rows, to, path)
+
+    monkeypatch.setattr(buckets, "_write", dying)
+    with pytest.raises(RuntimeError):
+        buckets.fold_batch(spark, b, batch(), 1, staging)
+    monkeypatch.setattr(buckets, "_write", real)
+    todo = buckets.fold_batch(spark, b, batch(), 1, staging)
+    assert todo and not any(n % 3 == 0 for n in todo)
+    assert rows(current_state(buckets.read_log(spark, b))) == want
+    # once more, also after a later batch, changes nothing
+    assert buckets.fold_batch(spark, b, batch(), 1, staging) == []
+    buckets.fold_batch(spark, b, puts_of(cells(("key0", "kd_1", 9))), 2, staging)
+    assert buckets.fold_batch(spark, b, batch(), 1, str(tmp_path / "elsewhere")) == []
+    want[0] = ("key0", "cf", "kd_1", 9, "1")
+    assert rows(current_state(buckets.read_log(spark, b))) == want
+
+
+def test_empty_batch_and_table(spark, tmp_path, cells):
+    b, staging = store(spark, tmp_path, cells(("a", "kd_1")).limit(0))
+    assert rows(current_state(buckets.read_log(spark, b))) == []
+    assert buckets.fold_batch(spark, b, puts_of(cells((None, "kd_1"), ("a", None))), 1, staging)
+    assert buckets.read_log(spark, b).count() == 2
