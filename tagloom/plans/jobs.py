@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, qualifiers
 from ..operators import audience, export, lookup, mutate, scan
-from ..operators.aggregate import count_by_os
 from ..session import settle
 from ..sources import files, sinks
 
@@ -178,14 +177,25 @@ def import_puts(rows: DataFrame, at_ms: int, tag: str | None = None, **names: st
     return mutate.retarget_puts(named, tag, at_ms) if tag is not None else mutate.taglist_puts(named, at_ms)
 
 
-def import_job(
-    rows: DataFrame, log: str, at_ms: int, tag: str | None = None, **names: str
-) -> tuple[DataFrame, DataFrame | None]:
-    """Append an import to the log; returns total and, where rows have an os, counts per os."""
+def import_job(rows: DataFrame, log: str, at_ms: int, tag: str | None = None, **names: str) -> dict[str, int]:
+    """Append an import to the log in one pass over the rows.
+
+    Returns the total and, where rows have an os, the number of rows of each,
+    all observed while the puts are written; ``os_other`` counts every other
+    os and none.
+    """
     named = audience.named_fields(rows, **names)
-    mutate.upsert_cells(import_puts(named, at_ms, tag), log)
-    by_os = count_by_os(named) if "os" in named.columns else None
-    return named.agg(F.count("*").alias("count")), by_os
+    seen = Observation()
+    counts = os_counts("os") if "os" in named.columns else []
+    mutate.upsert_cells(import_puts(named.observe(seen, F.count(F.lit(1)).alias("total"), *counts), at_ms, tag), log)
+    return dict(seen.get)
+
+
+def os_counts(os: str) -> list[Column]:
+    """Rows of each os, and of any other or none, as aggregates."""
+    known = F.coalesce(F.col(os).isin(*keys.OS_NUMBERS), F.lit(False))
+    each = [F.count_if(F.col(os) == number).alias(f"os_{number}") for number in keys.OS_NUMBERS]
+    return [*each, F.count_if(~known).alias("os_other")]
 
 
 def save_audience(
