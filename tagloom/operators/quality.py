@@ -56,14 +56,29 @@ def dirty_summary(cells: DataFrame) -> DataFrame:
     )
 
 
+def _sizes(delimiters: dict[str, str]) -> dict[str, Column]:
+    return {c: F.coalesce(F.size(split_list(c, d)), F.lit(0)) for c, d in delimiters.items()}
+
+
 def lists_align(delimiters: dict[str, str]) -> Column:
-    """Whether the delimited lists in these columns all have the same number of items."""
-    sizes = [F.size(split_list(c, d)) for c, d in delimiters.items()]
-    return reduce(lambda ok, n: ok & (n == sizes[0]), sizes[1:], F.lit(True))
+    """Whether the delimited lists in these columns all have the same number of items; a null list has none."""
+    first, *others = _sizes(delimiters).values()
+    return reduce(lambda ok, n: ok & (n == first), others, F.lit(True))
+
+
+def list_error(delimiters: dict[str, str]) -> Column:
+    """What is wrong with a row of parallel lists, by name and number of items; null if nothing is."""
+    sizes = F.concat_ws(", ", *[F.concat(F.lit(f"{c} "), n.cast("string")) for c, n in _sizes(delimiters).items()])
+    return F.when(~lists_align(delimiters), F.concat(F.lit("the parallel lists differ in length: "), sizes))
+
 
+def validate_projects(config: DataFrame, delimiters: dict[str, str], strict: bool = False) -> DataFrame:
+    """All rows of parallel lists with ``error``, null where the lists are of one length.
 
-def validate_projects(config: DataFrame, delimiters: dict[str, str]) -> DataFrame:
-    """Rows of parallel lists, failing the job on the first whose lists differ in length."""
-    message = F.lit("the parallel lists of a project configuration differ in length")
-    checked = F.when(lists_align(delimiters), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    return config.where(checked)
+    With ``strict``, the job fails on the first row that has an error; the
+    message is that error.
+    """
+    error = list_error(delimiters)
+    if strict:
+        error = F.when(error.isNotNull(), F.raise_error(error).cast("string"))
+    return config.withColumn("error", error)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tagloom.functions import keys, qualifiers, text
-from tagloom.operators import aggregate, audience, export, lookup, mutate, quality, scan
+from tagloom.operators import aggregate, audience, buckets, export, lookup, mutate, postings, quality, scan
 from tagloom.plans import jobs
 from tagloom.schema import NESTED, RETARGET
 from tagloom.session import listed, work_dir
@@ -78,6 +78,14 @@ def _(t: Tables):
     return log_source.read_day_logs(t.spark, paths, "20240105", "20240110")
 
 
+@query("read_day_logs_avro", SQL["read_day_logs"])
+def _(t: Tables):
+    base = work_dir(t.spark, "logs")
+    paths = {kind: f"{base}/{kind}" for kind in audience.KINDS}
+    log_source.write_day_logs(t.derived_logs(), paths, fmt="avro")
+    return log_source.read_day_logs(t.spark, paths, "20240105", "20240110", fmt="avro")
+
+
 @query("read_id_lines", o.sql("select value from lines", o.LINES))
 def _(t: Tables):
     path = work_dir(t.spark, "lines")
@@ -684,13 +692,21 @@ def _(t: Tables):
     return quality.dirty_summary(t.cells())
 
 
+_LIST_SIZES = {
+    "projects": "case when c_custkey%3=0 then 3 else 2 end",
+    "imp": "case when c_custkey%3=0 or c_custkey%5=0 then 3 else 2 end",
+    "ids": "case when c_custkey%3=0 then 3 else 2 end",
+}
+_LIST_ERROR = "||', '||".join(f"'{name} '||{size}" for name, size in _LIST_SIZES.items())
+
+
 @query(
     "validate_projects",
-    "select c_custkey from customer where c_custkey%3=0 or c_custkey%5<>0",
+    "select c_custkey, case when c_custkey%3<>0 and c_custkey%5=0 "
+    f"then 'the parallel lists differ in length: '||{_LIST_ERROR} end as error from customer",
 )
 def _(t: Tables):
-    aligned = _config(t).where("c_custkey % 3 = 0 or c_custkey % 5 <> 0")
-    return quality.validate_projects(aligned, _LIST_ENDS).select("c_custkey")
+    return quality.validate_projects(_config(t), _LIST_ENDS).select("c_custkey", "error")
 
 
 _LIST_ENDS = {"projects": ",", "imp": ",", "ids": ";"}
@@ -918,6 +934,35 @@ def _(t: Tables):
     return mutate.apply_mutations(t.cells(), *puts, rows, column)
 
 
+def _batches(t: Tables) -> list[DataFrame]:
+    """The mutations of ``apply_mutations``."""
+    column = mutate.delete_column(mutate.puts_of(t.cells()), t.ids(), _COLUMN, LATER, mode="all")
+    puts = mutate.retarget_puts(t.retarget(), TAG, LATER), mutate.taglist_puts(t.taglist(), LATER)
+    return [column, *puts, mutate.delete_rows(t.debtors(), MIDWAY)]
+
+
+@query("fold_batches", SQL["apply_mutations"])
+def _(t: Tables):
+    table = buckets.Buckets(work_dir(t.spark, "buckets"), 16)
+    staging = work_dir(t.spark, "staging")
+    for number, batch in enumerate([mutate.puts_of(t.cells()), *_batches(t)]):
+        buckets.fold_batch(t.spark, table, batch, number, staging)
+    return mutate.current_state(buckets.read_log(t.spark, table))
+
+
+@query("watermarks", o.sql(f"select count(distinct row_key) as keys, 1 as batch from cells where row_key in (select row_key from debtors)",
+                           o.CELLS, o.DEBTORS))
+def _(t: Tables):
+    """Keys of the debtors that have cells, counted in the buckets a batch on them rewrote."""
+    table = buckets.Buckets(work_dir(t.spark, "buckets"), 64)
+    staging = work_dir(t.spark, "staging")
+    buckets.fold_batch(t.spark, table, mutate.puts_of(t.cells()), 0, staging)
+    buckets.fold_batch(t.spark, table, mutate.delete_rows(t.debtors(), 0), 1, staging)
+    stored = buckets.read_stored(t.spark, table).where((F.col("op") == mutate.PUT) & (F.col("batch") == 1))
+    found = stored.join(t.debtors(), "row_key", "left_semi")
+    return found.agg(F.count_distinct("row_key").alias("keys"), F.max("batch").cast("int").alias("batch"))
+
+
 # ---------------------------------------------------------------- aggregates
 
 
@@ -976,6 +1021,68 @@ def _(t: Tables):
     return aggregate.tag_to_devices_text(t.cells(), parts=4)
 
 
+def _postings(t: Tables, whole_keys: bool = False) -> postings.Postings:
+    """Bitmaps of the tags, written and read again."""
+    index = aggregate.tag_index(t.cells()).withColumnRenamed("rowkey", "device")
+    path = work_dir(t.spark, "postings")
+    postings.write_postings(postings.key_tags(t.cells()) if whole_keys else index, path, 4)
+    return postings.read_postings(t.spark, path)
+
+
+_PAGES = (
+    "select tag, bucket+4*(place//32768) as page, count(*) as devices from (select tag, bucket, "
+    "dense_rank() over (partition by bucket order by rowkey)-1 as place from (select distinct tag, rowkey, "
+    "cast('0x'||substr(md5(rowkey),1,8) as bigint)%4 as bucket from flat)) group by all"
+)
+
+
+@query("bitmap_pages", o.sql(_PAGES, o.CELLS, o.LATEST, o.FLAT))
+def _(t: Tables):
+    return _postings(t).tags.select("tag", "page", F.bitmap_count("bits").alias("devices"))
+
+
+@query("bitmap_reach", o.sql("select tag, count(distinct rowkey) as cnt from flat group by tag", o.CELLS, o.LATEST, o.FLAT))
+def _(t: Tables):
+    return postings.reach(_postings(t).tags)
+
+
+@query("bitmap_devices", o.sql("select distinct tag, rowkey as device from flat", o.CELLS, o.LATEST, o.FLAT))
+def _(t: Tables):
+    found = _postings(t)
+    return postings.members(found.devices, found.tags)
+
+
+@query("bitmap_audience_any", SQL["audience_filter"])
+def _(t: Tables):
+    """The audience filter, by bitmaps of whole keys."""
+    found = _postings(t, whole_keys=True)
+    hits = postings.members(found.devices, postings.any_of(found.tags, FILTER_TAGS)).withColumnRenamed("device", "row_key")
+    ids = t.ids().select(F.col("id").alias("value"), keys.build_key_by_hyphen("id").alias("row_key"))
+    return ids.join(hits, "row_key", "left_semi")
+
+
+_MANY_TAGS = "'001001','012001','023001'"
+
+
+@query(
+    "bitmap_audience_all",
+    o.sql(
+        f"select rowkey as device from flat where tag in ({_MANY_TAGS}) group by rowkey having count(distinct tag)=3 "
+        f"union all select 'size '||count(*) from (select rowkey from flat where tag in ({_MANY_TAGS}) group by rowkey "
+        "having count(distinct tag)=3)",
+        o.CELLS,
+        o.LATEST,
+        o.FLAT,
+    ),
+)
+def _(t: Tables):
+    """Devices with all of three tags, and how many they are."""
+    found = _postings(t)
+    hits = postings.all_of(found.tags, ["001001", "012001", "023001"])
+    total = postings.size(hits).select(F.concat(F.lit("size "), "count").alias("device"))
+    return postings.members(found.devices, hits).unionByName(total)
+
+
 @query("sort_by_time_desc", o.sql(_UPDATES, o.CELLS, o.LATEST))
 def _(t: Tables):
     return scan.sort_by_time_desc(scan.flat_updates(t.cells()))

@@ -208,12 +208,17 @@ def test_parse_projects():
 
 
 def test_validate_projects(spark):
-    good = spark.createDataFrame([("a,b", "1,0", "1,2;3")], "projects string, imp string, ids string")
+    data = [("a,b", "1,0", "1,2;3"), ("a,b", "1", "1,2;3"), ("a", "1,", "x;"), (None, "1", "1"), ("a,b", "0,1", "1;2;3;")]
+    config = spark.createDataFrame(data, "projects string, imp string, ids string")
     delimiters = {"projects": ",", "imp": ",", "ids": ";"}
-    assert quality.validate_projects(good, delimiters).count() == 1
-    bad = good.withColumn("imp", F.lit("1"))
-    with pytest.raises(Exception, match="differ in length"):
-        quality.validate_projects(bad, delimiters).collect()
+    errors = [r.error for r in quality.validate_projects(config, delimiters).collect()]
+    start = "the parallel lists differ in length: "
+    wanted = [None, "projects 2, imp 1, ids 2", None, "projects 0, imp 1, ids 1", "projects 2, imp 2, ids 3"]
+    assert errors == [w and start + w for w in wanted]
+    aligned = quality.validate_projects(config.where(quality.lists_align(delimiters)), delimiters, strict=True)
+    assert [r.error for r in aligned.collect()] == [None, None]
+    with pytest.raises(Exception, match="differ in length: projects 2, imp 1, ids 2"):
+        quality.validate_projects(config.limit(2), delimiters, strict=True).collect()
 
 
 def test_ids_of_lines_and_logs(spark):
