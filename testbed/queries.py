@@ -53,6 +53,11 @@ def _(t: Tables):
     return cell_source.latest_cells(t.cells(), value=True)
 
 
+@query("latest_by_number", SQL["latest_cells"])
+def _(t: Tables):
+    return cell_source.latest_by_number(t.cells())
+
+
 @query("read_parquet_ids", o.sql("select did, os from retarget", o.LINES, o.RETARGET))
 def _(t: Tables):
     path = work_dir(t.spark, "ids")

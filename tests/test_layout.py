@@ -176,3 +176,27 @@ def test_many_ids_still_filter_the_scan(spark, merge_joins, tmp_path):
     )
     assert rows(got) == want and len(want) > 100
     assert audience.FILTER_IDS < len(ids)
+
+
+def test_newest_values_without_a_sort(spark, cells):
+    """Ties, null values and old versions come out as by the general fold, from hash aggregates alone."""
+    data = [(f"k{i % 7}:x", f"kd_{i % 5}", -(i % 11), [None, "", "b", "ba", "é", "1"][i % 6]) for i in range(500)]
+    table = spark.createDataFrame([(k, "cf", q, ts, v) for k, q, ts, v in data], "row_key string, family string, qualifier string, ts bigint, value string")
+    want = sorted(map(repr, cell_source.latest_cells(table, value=True).collect()))
+    got = cell_source.latest_by_number(table)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert sorted(map(repr, got.collect())) == want
+    # what does not fit takes the general fold
+    assert sorted(map(repr, cell_source.latest_by_number(table, most_values=5).collect())) == want
+    far = table.unionByName(cells(("a:x", "kd_1", 1 << 62), ("a:x", "kd_1", -(1 << 62))))
+    timeless = table.unionByName(table.limit(9).withColumn("ts", F.lit(None).cast("bigint")))
+    for odd in (far, timeless, table.limit(0)):
+        assert sorted(map(repr, cell_source.latest_by_number(odd).collect())) == sorted(map(repr, cell_source.latest_cells(odd, value=True).collect()))
+    # numbered once, folded in parts; what was not numbered is not lost silently
+    numbers = cell_source.number_values(table)
+    part = table.where("row_key < 'k3'")
+    assert sorted(map(repr, cell_source.latest_by_number(part, numbers).collect())) == sorted(map(repr, cell_source.latest_cells(part, value=True).collect()))
+    for stranger in (("a:x", "kd_1", 0, "new"), ("a:x", "kd_1", 99, "1")):
+        with pytest.raises(Exception, match="not numbered"):
+            cell_source.latest_by_number(table.unionByName(cells(stranger)), numbers).collect()
