@@ -20,8 +20,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_LANES = 4096  # bound on the number of blocks a side is cut into
-
 
 @dataclass(frozen=True)
 class CodeSettings:
@@ -118,7 +116,7 @@ def nearest(
         rows.select("dims", F.posexplode("v").alias("i", "x")).groupBy("dims", "i").agg(F.avg("x").alias("x"))
         .groupBy("dims").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("centre"))
     )
-    lanes = lambda n, size: F.least(F.lit(MAX_LANES), F.ceil(F.col(n) / size)).cast("int")
+    lanes = lambda n, size: F.ceil(F.col(n) / size).cast("int")
     plan = counts.join(mean, "dims").select(
         "dims", "centre", lanes("q", s.query_rows).alias("q_lanes"), lanes("n", s.vector_rows).alias("v_lanes")
     )  # one row per vector length

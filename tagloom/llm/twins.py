@@ -34,7 +34,7 @@ _FITS = [f"when (host='{h}' or ends_with(host,'.{h}')) and starts_with(path,'{p}
 _RULE = "case " + " ".join(f"{fit} '{h + p}'" for fit, (h, p, _) in zip(_FITS, _RULES, strict=True)) + " end"
 _RULED = "case " + " ".join(f"{fit} '{v}'" for fit, (_, _, v) in zip(_FITS, _RULES, strict=True)) + " end"
 
-# Wildcards: 20 values at a place, 2 % of the host's urls there; bands of a tenth; prior of 10 labels.
+# Wildcards: 20 values at a place, 2 % of the host's urls there; siblings by chi-square; prior of 10 labels.
 URL_FILTER = f"""
 with rest as (select page_id, case when contains(url,'://') then substr(url, strpos(url,'://')+3) else '' end as r
   from (select page_id, coalesce(url,'') as url from pages)),
@@ -43,7 +43,7 @@ parts as (select page_id, translate(h,'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijkl
   regexp_extract(substr(r,length(h)+1),'^[^?#]*') as path from split),
 masked as (select page_id, host, path, {_RULE} as rule, {_RULED} as ruled,
   [regexp_replace(x,'[0-9]+','#','g') for x in string_split(path,'/') if x<>''] as m from parts),
-urls as (select *, case when len(m)<=3 then m else list_append(list_slice(m,1,3),'**') end as segs from masked),
+urls as (select *, m as segs from masked),
 shapes as (select host, segs, count(*) as n, count(ruled) as labelled, count(*) filter (where ruled='block') as bad
   from urls group by host, segs),
 places as (select host, n, unnest(segs) as v, unnest(range(1,len(segs)+1)) as i from shapes),
@@ -56,10 +56,14 @@ template as (select host, segs, list(v order by i) as t from long group by host,
   union all select host, segs, [] from shapes where len(segs)=0),
 branch as (select host, t, sum(n) as n, sum(labelled) as labelled, sum(bad) as bad
   from shapes join template using (host, segs) group by host, t),
-banded as (select *, list_slice(t,1,len(t)-1) as parent, len(t) as depth,
-  case when labelled>0 then floor(bad*10/labelled) else -1 end as band from branch),
+siblings as (select *, list_slice(t,1,len(t)-1) as parent, len(t) as depth, labelled>0 as seen,
+  bad::double as b, labelled::double as k from branch),
+pairs as (select *, lag(b) over o as b0, lag(k) over o as k0 from siblings
+  window o as (partition by host, parent, depth, seen order by b/nullif(k,0), k, t)),
+banded as (select *, sum(case when (b*k0-b0*k)*(b*k0-b0*k)*(k+k0) > 3.84::double*(k*k0*(b+b0)*((k+k0)-(b+b0))) then 1 else 0 end) over
+  (partition by host, parent, depth, seen order by b/nullif(k,0), k, t rows unbounded preceding) as band from pairs),
 merged as (select host, t, sum(labelled) over g as labelled, sum(bad) over g as bad from banded
-  window g as (partition by host, parent, depth, band)),
+  window g as (partition by host, parent, depth, seen, band)),
 prior as (select t, (sum(bad)+10*(select (sum(bad)+1)/(sum(labelled)+2) from branch))/(sum(labelled)+10) as prior from branch group by t),
 share as (select host, t, (bad+10*prior)/(labelled+10) as share from merged join prior using (t))
 select page_id, host, path, rule, coalesce(ruled, case when share>0.5 then 'block' else 'allow' end) as verdict,

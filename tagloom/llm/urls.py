@@ -2,8 +2,8 @@
 
 Rules decide first. Everything else is decided by the templates of its host:
 path segments that vary (digits, or a position with many different values)
-become wildcards, branches of similar make-up are merged, and a template is
-rejected when the smoothed share of bad labels among its urls is high. All of
+become wildcards, sibling branches whose counts of labels a chi-square test
+cannot tell apart are merged, and a template is rejected when the smoothed share of bad labels among its urls is high. All of
 it is grouping and joining of counts.
 """
 
@@ -28,10 +28,9 @@ RULES = (
 
 @dataclass(frozen=True)
 class TreeSettings:
-    depth: int = 3  # path segments that templates tell apart; deeper ones share "**"
     vary: int = 20  # so many values at one place of a host make it a wildcard
     rare: float = 0.02  # and so do values with less than this share of the place
-    bands: int = 10  # branches whose bad share falls in one band are alike and merged
+    apart: float = 3.84  # chi-square, one degree of freedom, above which two branches are not alike
     weight: int = 10  # of the prior, in labelled urls
     reject: float = 0.5  # smoothed bad share above which a template is rejected
 
@@ -64,13 +63,10 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return F.coalesce(*found)
 
 
-def segments(path: Column, depth: int) -> Column:
-    """The first path segments, digits as ``#``; what lies deeper counts as one ``**``."""
+def segments(path: Column) -> Column:
+    """All path segments, digits as ``#``."""
     parts = F.filter(F.split(path, "/"), lambda x: x != "")
-    masked = F.transform(parts, lambda x: F.regexp_replace(x, "[0-9]+", "#"))
-    return F.when(F.size(masked) <= depth, masked).otherwise(
-        F.concat(F.slice(masked, 1, depth), F.array(F.lit("**")))
-    )
+    return F.transform(parts, lambda x: F.regexp_replace(x, "[0-9]+", "#"))
 
 
 def template_tree(pages: DataFrame, settings: TreeSettings = TreeSettings()) -> DataFrame:
@@ -110,10 +106,20 @@ def _merged(general: DataFrame, s: TreeSettings) -> DataFrame:
     parent = F.when(F.size("template") > 0, F.slice("template", 1, F.size("template") - 1)).otherwise(
         F.array().cast("array<string>")
     )
-    band = F.when(F.col("labelled") > 0, F.floor(F.col("bad") * s.bands / F.col("labelled"))).otherwise(F.lit(-1))
-    branch = branch.withColumn("parent", parent).withColumn("band", band).withColumn("places", F.size("template"))
-    # Siblings without a label say nothing about themselves and share one branch too.
-    alike = Window.partitionBy("host", "parent", "places", "band")
+    branch = branch.withColumn("parent", parent).withColumn("places", F.size("template"))
+    # Siblings in order of their share; a new band where one differs from the one before. Those
+    # without a label say nothing about themselves and share one band.
+    own = F.try_divide("bad", "labelled")
+    siblings = Window.partitionBy("host", "parent", "places", F.col("labelled") > 0)
+    order = siblings.orderBy(own, "labelled", "template")
+    bad, labelled = F.col("bad").cast("double"), F.col("labelled").cast("double")
+    bad0, labelled0 = F.lag(bad).over(order), F.lag(labelled).over(order)
+    both, total = bad + bad0, labelled + labelled0
+    cross = bad * labelled0 - bad0 * labelled
+    differs = cross * cross * total > s.apart * (labelled * labelled0 * both * (total - both))
+    branch = branch.withColumn("differs", F.coalesce(differs.cast("int"), F.lit(0)))
+    branch = branch.withColumn("band", F.sum("differs").over(order))
+    alike = Window.partitionBy("host", "parent", "places", F.col("labelled") > 0, "band")
     merged = branch.select(
         "host", "template", *[F.sum(c).over(alike).alias(c) for c in ("n", "labelled", "bad")]
     )
@@ -151,13 +157,13 @@ def filter_urls(
     hit = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("hit", hit).select(
         id_col, "host", "path", F.col("hit.rule").alias("rule"), F.col("hit.verdict").alias("ruled"),
-        segments(F.col("path"), settings.depth).alias("segs"),
+        segments(F.col("path")).alias("segs"),
     )
     bad = F.when(F.col("ruled") == "block", 1).when(F.col("ruled") == "allow", 0)
     known = rows.select("host", "segs", bad.alias("bad"))
     if labels is not None:
         known = known.unionByName(
-            labels.select("host", segments(F.col("path"), settings.depth).alias("segs"), F.col("bad").cast("int").alias("bad"))
+            labels.select("host", segments(F.col("path")).alias("segs"), F.col("bad").cast("int").alias("bad"))
         )
     tree = template_tree(known, settings).select("host", "segs", "template", "share")
     verdict = F.coalesce(F.col("ruled"), F.when(F.col("share") > settings.reject, F.lit("block")).otherwise("allow"))

@@ -48,6 +48,28 @@ def test_templates_learn_from_labels(spark):
     assert {rows[i].template for i in range(120, 179)} == {"/*/z"}
 
 
+def test_deep_paths_are_told_apart(spark):
+    """Six segments, verdicts that differ by the fifth; a null id is judged like any other."""
+    spam, good = "/a/b/c/d/pills/{}", "/a/b/c/d/notes/{}"
+    labels = spark.createDataFrame(
+        [("h.net", spam.format(i), 1) for i in range(40)] + [("h.net", good.format(i), 0) for i in range(40)], "host string, path string, bad int"
+    )
+    rows = [(i, "http://h.net" + (spam if i % 2 else good).format(i)) for i in range(20)] + [(None, "http://h.net" + spam.format(7))]
+    got = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), labels=labels).collect()
+    assert len(got) == 21 and {(r.template, r.verdict) for r in got} == {("/a/b/c/d/pills/#", "block"), ("/a/b/c/d/notes/#", "allow")}
+    assert [r.verdict for r in got if r.page_id is None] == ["block"]
+
+
+def test_siblings_merge_by_their_counts(spark):
+    """One bad label of one is no proof against a clean sibling of two; forty of forty are against four hundred clean ones."""
+    data = {"/x/few": (1, 1), "/x/clean": (2, 0), "/y/many": (40, 40), "/y/clean": (400, 0), "/y/none": (0, 0)}
+    known = [("h.net", path[1:].split("/"), int(i < bad)) for path, (n, bad) in data.items() for i in range(n)] + [("h.net", ["y", "none"], None)]
+    tree = urls.template_tree(spark.createDataFrame(known, "host string, segs array<string>, bad int")).collect()
+    got = {r.template[1]: (r.labelled, r.bad) for r in tree}
+    assert {k: v for k, v in got.items() if k != "clean"} == {"few": (3, 1), "many": (40, 40), "none": (0, 0)}
+    assert {r.template[0]: (r.labelled, r.bad) for r in tree if r.template[1] == "clean"} == {"x": (3, 1), "y": (400, 0)}
+
+
 def test_repeated_rows_and_empty_table(spark):
     rows = judged(spark, *["http://a.net/q"] * 3)
     assert len(rows) == 3
