@@ -56,7 +56,7 @@ def test_same_as_the_audience_filter(spark, tmp_path, cells):
     table = cells(*[(f"k{rng.randrange(60)}:x", f"{rng.choice(['kd', 'mh'])}_{rng.randrange(8)}", rng.randrange(3)) for _ in range(300)])
     p = written(spark, tmp_path, postings.key_tags(table), 5)
     ids = spark.createDataFrame([(f"k{i}:x", i) for i in range(80)], "row_key string, n int")
-    hits = postings.members(p.devices, postings.any_of(p.tags, ["3", "5"])).withColumnRenamed("device", "row_key")
-    want = lookup.audience_filter(ids, table, listed(spark, ["3", "5"], "tag"))
+    hits = postings.members(p.devices, postings.any_of(p.tags, ["3", "5", "7"])).withColumnRenamed("device", "row_key")
+    want = lookup.audience_filter(ids, table, listed(spark, ["3", "5", "7"], "tag"))
     assert rows(ids.join(hits, "row_key", "left_semi")) == rows(want)
     assert rows(aggregate.tag_index(table).select("tag", "rowkey")) == rows(postings.members(p.devices, p.tags).select("tag", F.regexp_replace("device", ":x$", "")))
