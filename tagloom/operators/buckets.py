@@ -95,12 +95,23 @@ def read_log(spark: SparkSession, buckets: Buckets) -> DataFrame:
     return read_stored(spark, buckets).select(*MUTATIONS.fieldNames())
 
 
-def watermarks(spark: SparkSession, buckets: Buckets) -> DataFrame:
-    """``(bucket, batch)``: the last batch of every bucket; reads one column that is alike in all rows of a file."""
+def watermarks(spark: SparkSession, buckets: Buckets, among: Sequence[int] | None = None) -> DataFrame:
+    """``(bucket, batch)``: the last batch of every bucket, or of some, whose folders alone are read.
+
+    Only one column is, and it is alike in all rows of a file.
+    """
     stored = read_stored(spark, buckets)
+    if among is not None:
+        stored = stored.where(F.col(buckets.column).isin(*among))
     return stored.groupBy(F.col(buckets.column).alias("bucket")).agg(F.max("batch").alias("batch"))
 
 
+def _behind(spark: SparkSession, buckets: Buckets, among: Sequence[int], number: int) -> list[int]:
+    """Those of some buckets that have neither the batch nor a later one."""
+    done = watermarks(spark, buckets, among).where(F.col("batch") >= number).select("bucket")
+    return sorted(set(among) - set(_numbers(done)))
+
+
 def _numbers(df: DataFrame) -> list[int]:
     """Bucket numbers of a frame; as many as there are buckets at most."""
     return sorted(r[0] for r in df.distinct().collect())
@@ -127,8 +138,7 @@ def _ready(spark: SparkSession, path: str) -> list[int] | None:
 def _stage(spark: SparkSession, buckets: Buckets, batch: DataFrame, number: int, aside: str) -> list[int]:
     """Write the new contents of the buckets a batch names, and then, as the sign that they are whole, their numbers."""
     at = buckets.of("row_key")
-    done = watermarks(spark, buckets).where(F.col("batch") >= number).select("bucket")
-    touched = _numbers(batch.select(at.alias("bucket")).distinct().join(done, "bucket", "left_anti"))
+    touched = _behind(spark, buckets, _numbers(batch.select(at.alias("bucket"))), number)
     fresh = batch.select(*MUTATIONS.fieldNames()).withColumn(buckets.column, at).where(F.col(buckets.column).isin(touched))
     old = read_stored(spark, buckets).where(F.col(buckets.column).isin(touched))
     log = folded(old.select(*MUTATIONS.fieldNames()).unionByName(fresh.select(*MUTATIONS.fieldNames())))
@@ -149,11 +159,8 @@ def fold_batch(spark: SparkSession, buckets: Buckets, batch: DataFrame, number:
     touched = _ready(spark, f"{aside}/ready")
     if touched is None:
         touched = _stage(spark, buckets, batch, number, aside)
-    if not touched:
-        return []
-    # buckets that have the batch, or a later one, were put in place by an earlier attempt
-    behind = watermarks(spark, buckets).where(F.col("batch") >= number).select("bucket")
-    todo = sorted(set(touched) - set(_numbers(behind)))
+    # the others were put in place by an earlier attempt
+    todo = _behind(spark, buckets, touched, number)
     if todo:
         rows = spark.read.schema(buckets.schema()).parquet(f"{aside}/rows")
         _write(rows.where(F.col(buckets.column).isin(todo)), buckets, buckets.path)
