@@ -17,18 +17,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import as_col
 from ..schema import CELL_ID, MUTATIONS
-from ..session import LITERALS, listed, named_values
+from ..session import BROADCAST_ROWS, LITERALS, listed, named_values
 from ..sources.cells import KEY_FILTER, ROW_GROUP
 from .mutate import DELETE_COLUMN, DELETE_ROW, DELETE_VERSION, PUT, column_deletes, outlives, row_deletes
 
+VERSIONS = PUT, DELETE_VERSION
+KINDS = *VERSIONS, DELETE_COLUMN, DELETE_ROW
+
 STORED = T.StructType([*MUTATIONS.fields, T.StructField("batch", T.LongType())])
 
 
@@ -58,25 +62,74 @@ def folded(log: DataFrame) -> DataFrame:
     A version that is deleted by itself stays, with its delete, so that
     the same choice of versions can be made again. Rows that are alike are one.
     """
-    versions = log.where(F.col("op").isin(PUT, DELETE_VERSION))
     rows, columns = row_deletes(log), column_deletes(log)
-    shown = (
+    shown = _shown(log.where(F.col("op").isin(*VERSIONS)), columns, rows)
+    return shown.distinct().unionByName(_marks(columns, rows))
+
+
+def _shown(versions: DataFrame, columns: DataFrame, rows: DataFrame) -> DataFrame:
+    """Versions that no delete of their column or row hides."""
+    return (
         versions.join(columns, CELL_ID, "left")
         .where(outlives("column_deleted_at"))
         .join(rows, "row_key", "left")
         .where(outlives("row_deleted_at"))
+        .select(*MUTATIONS.fieldNames())
     )
+
+
+def _marks(columns: DataFrame, rows: DataFrame) -> DataFrame:
+    """The deletes of columns that those of rows leave, and those of rows, as a log."""
     marks = columns.select(F.lit(DELETE_COLUMN).alias("op"), *CELL_ID, F.col("column_deleted_at").alias("ts")).join(
         rows, "row_key", "left"
     )
     marks = marks.where(outlives("row_deleted_at")).drop("row_deleted_at")
     all_rows = rows.select(F.lit(DELETE_ROW).alias("op"), "row_key", F.col("row_deleted_at").alias("ts"))
-    return (
-        shown.select(*MUTATIONS.fieldNames())
-        .distinct()
-        .unionByName(marks.unionByName(all_rows, allowMissingColumns=True), allowMissingColumns=True)
-        .select(*MUTATIONS.fieldNames())
-    )
+    every = marks.unionByName(all_rows, allowMissingColumns=True)
+    known = {f.name: F.col(f.name) if f.name in every.columns else F.lit(None) for f in MUTATIONS.fields}
+    return every.select(*[known[f.name].cast(f.dataType).alias(f.name) for f in MUTATIONS.fields])
+
+
+def _of_kinds(log: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """A log of some kinds of operations, kind by kind: Spark sees which there are none of and leaves out their joins."""
+    parts = [log.where(F.col("op") == kind).withColumn("op", F.lit(kind)) for kind in kinds]
+    return reduce(DataFrame.unionByName, parts) if parts else log.where(F.lit(False))
+
+
+def _kinds(log: DataFrame) -> list[str]:
+    """The kinds of operations in a log, four at most."""
+    return sorted(r[0] for r in log.select("op").where(F.col("op").isin(*KINDS)).distinct().collect())
+
+
+def merged(old: DataFrame, fresh: DataFrame, kinds: Sequence[str], aside: str) -> DataFrame:
+    """``folded`` of a folded log and a batch that has some kinds of operations.
+
+    What is old has outlived the old deletes and is distinct, so it meets
+    only the deletes of the batch; without any it stays as it is. The versions
+    of the batch meet all deletes. They are written aside once: few of them are
+    broadcast to the old ones, which then need no shuffle to find those alike.
+    """
+    log = old.unionByName(fresh)
+    rows, columns = row_deletes(log), column_deletes(log)
+    kept, marks = old.where(F.col("op").isin(*VERSIONS)), old.where(~F.col("op").isin(*VERSIONS))
+    if not set(kinds) <= set(VERSIONS):
+        kept, marks = _shown(kept, column_deletes(fresh), row_deletes(fresh)), _marks(columns, rows)
+    if not set(kinds).isdisjoint(VERSIONS):
+        shown = _shown(fresh.where(F.col("op").isin(*VERSIONS)), columns, rows).distinct()
+        shown.write.mode("overwrite").parquet(aside)
+        shown = old.sparkSession.read.schema(MUTATIONS).parquet(aside)
+        kept = _unlike(kept, shown).unionByName(shown)
+    return kept.unionByName(marks)
+
+
+def _unlike(log: DataFrame, others: DataFrame) -> DataFrame:
+    """Rows that are not among stored others. They meet by one number, which sorts fast and never runs hot."""
+    names = MUTATIONS.fieldNames()
+    few = others.count() <= BROADCAST_ROWS
+    left = log.withColumn("digest", F.xxhash64(*names)).alias("l")
+    right = others.withColumn("digest", F.xxhash64(*names)).alias("r").hint("broadcast" if few else "merge")
+    alike = reduce(Column.__and__, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in names])
+    return left.join(right, (F.col("l.digest") == F.col("r.digest")) & alike, "left_anti").select(*names)
 
 
 def read_stored(spark: SparkSession, buckets: Buckets) -> DataFrame:
@@ -92,7 +145,8 @@ def read_stored(spark: SparkSession, buckets: Buckets) -> DataFrame:
 
 def read_log(spark: SparkSession, buckets: Buckets) -> DataFrame:
     """The table as a log: what ``current_state`` and ``delete_column`` take."""
-    return read_stored(spark, buckets).select(*MUTATIONS.fieldNames())
+    log = read_stored(spark, buckets).select(*MUTATIONS.fieldNames())
+    return _of_kinds(log, _kinds(log))
 
 
 def watermarks(spark: SparkSession, buckets: Buckets, among: Sequence[int] | None = None) -> DataFrame:
@@ -117,12 +171,16 @@ def _numbers(df: DataFrame) -> list[int]:
     return sorted(r[0] for r in df.distinct().collect())
 
 
+def _writer(rows: DataFrame, buckets: Buckets) -> DataFrameWriter:
+    """A writer of rows by bucket; in each task keys are in order."""
+    ordered = rows.sortWithinPartitions(buckets.column, "row_key", "qualifier", "ts")
+    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**ROW_GROUP)
+    return writer.partitionBy(buckets.column)
+
+
 def _write(rows: DataFrame, buckets: Buckets, path: str) -> None:
-    """Write rows by bucket; a large bucket is split over tasks, in each its keys are in order."""
-    spread = rows.hint("rebalance", F.col(buckets.column))
-    ordered = spread.sortWithinPartitions(buckets.column, "row_key", "qualifier", "ts")
-    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**KEY_FILTER, **ROW_GROUP)
-    writer.partitionBy(buckets.column).parquet(path)
+    """Put rows in place that were written aside by bucket: they lie together already and are not shuffled again."""
+    _writer(rows, buckets).options(**KEY_FILTER).parquet(path)
 
 
 def _ready(spark: SparkSession, path: str) -> list[int] | None:
@@ -137,13 +195,17 @@ def _ready(spark: SparkSession, path: str) -> list[int] | None:
 
 def _stage(spark: SparkSession, buckets: Buckets, batch: DataFrame, number: int, aside: str) -> list[int]:
     """Write the new contents of the buckets a batch names, and then, as the sign that they are whole, their numbers."""
-    at = buckets.of("row_key")
-    touched = _behind(spark, buckets, _numbers(batch.select(at.alias("bucket"))), number)
-    fresh = batch.select(*MUTATIONS.fieldNames()).withColumn(buckets.column, at).where(F.col(buckets.column).isin(touched))
-    old = read_stored(spark, buckets).where(F.col(buckets.column).isin(touched))
-    log = folded(old.select(*MUTATIONS.fieldNames()).unionByName(fresh.select(*MUTATIONS.fieldNames())))
+    at, names = buckets.of("row_key"), MUTATIONS.fieldNames()
+    named = batch.select(at.alias("bucket"), "op").distinct().collect()  # as many as buckets, four times at most
+    touched = _behind(spark, buckets, sorted({r.bucket for r in named}), number)
+    kinds = sorted({r.op for r in named if r.op in KINDS})
+    fresh = _of_kinds(batch.select(*names).where(at.isin(touched)), kinds)
+    old = read_stored(spark, buckets).where(F.col(buckets.column).isin(touched)).select(*names)
+    held = _kinds(old)
+    log = merged(_of_kinds(old, held), fresh, kinds, f"{aside}/fresh") if held else folded(fresh)
     rows = log.withColumns({"batch": F.lit(number).cast("long"), buckets.column: at})
-    _write(rows, buckets, f"{aside}/rows")
+    # a large bucket is split over tasks
+    _writer(rows.hint("rebalance", F.col(buckets.column)), buckets).parquet(f"{aside}/rows")
     spark.createDataFrame([(b,) for b in touched], "bucket int").write.mode("overwrite").parquet(f"{aside}/ready")
     return touched
 
@@ -172,7 +234,7 @@ def rows_of_keys(spark: SparkSession, buckets: Buckets, row_keys: Sequence[str])
     if len(row_keys) > LITERALS:
         return rows_of(spark, buckets, listed(spark, list(row_keys), "row_key"))
     if not row_keys:
-        return read_log(spark, buckets).where(F.lit(False))
+        return read_stored(spark, buckets).where(F.lit(False)).select(*MUTATIONS.fieldNames())
     wanted = F.col("row_key").isin(*row_keys) & F.col(buckets.column).isin(*[buckets.of(F.lit(k)) for k in row_keys])
     return read_stored(spark, buckets).where(wanted).select(*MUTATIONS.fieldNames())
 

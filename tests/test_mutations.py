@@ -1,4 +1,6 @@
+import hashlib
 import random
+import uuid
 from pathlib import Path
 
 import pytest
@@ -6,6 +8,8 @@ import pytest
 from tagloom.operators import buckets, mutate
 from tagloom.operators.mutate import apply_mutations, current_state, delete_column, delete_rows, puts_of, put_cell
 
+from testbed import tables
+
 from .conftest import rows
 
 A = "a" * 32
@@ -206,3 +210,60 @@ def test_empty_batch_and_table(spark, tmp_path, cells):
     assert rows(current_state(buckets.read_log(spark, b))) == []
     assert buckets.fold_batch(spark, b, puts_of(cells((None, "kd_1"), ("a", None))), 1, staging)
     assert buckets.read_log(spark, b).count() == 2
+
+
+def by_kind(log):
+    return buckets._of_kinds(log, buckets._kinds(log))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_a_batch_meets_a_folded_log(spark, tmp_path, seed):
+    """Old rows that meet only the deletes of a batch: the same as folding all of it, nulls and doubles included."""
+    rng = random.Random(seed)
+
+    def some(ops):
+        out = []
+        for _ in range(300):
+            op, key, q = rng.choice(ops), rng.choice(["hot", "hot", "k1", "k2", None]), rng.choice(["kd_1", "kd_2", None])
+            cell = (None, None) if op == "delete_row" else ("cf", q)
+            ts = rng.choice([*range(30), None])
+            out.append((op, key, *cell, ts, rng.choice(["1", "2", None]) if op == "put" else None, None))
+        return spark.createDataFrame(out, mutate.MUTATIONS)
+
+    every = ["put"] * 12 + ["delete_version"] * 3 + ["delete_column", "delete_row"]
+    old = buckets.folded(some(every)).localCheckpoint()
+    for ops in (every, ["put"], ["delete_row"], ["delete_column"], ["put", "delete_row"], ["other"]):
+        fresh = some(ops).localCheckpoint()
+        kinds = buckets._kinds(fresh)
+        got = buckets.merged(by_kind(old), buckets._of_kinds(fresh, kinds), kinds, str(tmp_path / "fresh"))
+        want = buckets.folded(old.unionByName(fresh))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_what_a_batch_leaves_alone_is_not_shuffled(spark, tmp_path, cells, monkeypatch):
+    """Few puts find the old rows by broadcast, buckets go in place as they lie, and a log of puts alone joins nothing."""
+    plans = []
+    real = buckets._writer
+    monkeypatch.setattr(buckets, "_writer", lambda df, b: plans.append(plan(df)) or real(df, b))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    b, staging = store(spark, tmp_path, cells(*[(f"key{i}", "kd_1", ts) for i in range(60) for ts in (1, 2)]))
+    assert "Join" not in plan(current_state(buckets.read_log(spark, b)))
+    buckets.fold_batch(spark, b, puts_of(cells(("key0", "kd_1", 9), ("key1", "kd_1", 2))), 1, staging)
+    _, placed, merged, replaced = plans
+    assert "Exchange" not in placed and "Exchange" not in replaced
+    assert "BroadcastHashJoin" in merged and "SortMergeJoin" not in merged
+    assert merged.count("Exchange hashpartitioning") + merged.count("Exchange rebalance") <= 1
+    assert len(rows(current_state(buckets.read_log(spark, b)))) == 60
+    assert buckets.read_log(spark, b).count() == 121
+
+
+def test_a_device_id_is_digested_once(spark):
+    n = spark.range(-3, 400).select("id").union(spark.sql("select cast(null as bigint)"))
+    made = tables.device_id(mutate.F.col("id"))
+    assert str(made._jc.toString()).count("md5") <= 2
+    for number, found in n.select("id", made).collect():
+        digest = None if number is None else hashlib.md5(str(number).encode()).hexdigest()
+        assert found == (str(uuid.UUID(digest)) if number and number % 2 and number > 0 else digest)
