@@ -106,22 +106,30 @@ def merged(old: DataFrame, fresh: DataFrame, kinds: Sequence[str], aside: str) -
 
     What is old has outlived the old deletes and is distinct, so it meets
     only the deletes of the batch; without any it stays as it is. The versions
-    of the batch meet all deletes. They are written aside once: few of them are
-    broadcast to the old ones, which then need no shuffle to find those alike.
+    of the batch meet all deletes. Deletes and versions of the batch are
+    written aside once: few of them are broadcast to the old rows, which then
+    need no shuffle.
     """
-    log = old.unionByName(fresh)
-    rows, columns = row_deletes(log), column_deletes(log)
-    kept, marks = old.where(F.col("op").isin(*VERSIONS)), old.where(~F.col("op").isin(*VERSIONS))
-    if not set(kinds) <= set(VERSIONS):
-        kept, marks = _shown(kept, column_deletes(fresh), row_deletes(fresh)), _marks(columns, rows)
-    if not set(kinds).isdisjoint(VERSIONS):
-        shown = _shown(fresh.where(F.col("op").isin(*VERSIONS)), columns, rows).distinct()
-        shown.write.mode("overwrite").parquet(aside)
-        shown = old.sparkSession.read.schema(MUTATIONS).parquet(aside)
+    is_version = F.col("op").isin(*VERSIONS)
+    deleting = [kind for kind in kinds if kind not in VERSIONS]
+    kept, marks, log = old.where(is_version), old.where(~is_version), old
+    if deleting:
+        named = _of_kinds(_stored(_marks(column_deletes(fresh), row_deletes(fresh)), f"{aside}/deletes"), deleting)
+        log = old.unionByName(named)
+        kept = _shown(kept, column_deletes(named), row_deletes(named))
+        marks = _marks(column_deletes(log), row_deletes(log))
+    if len(deleting) < len(kinds):
+        shown = _shown(fresh.where(is_version), column_deletes(log), row_deletes(log))
+        shown = _stored(shown.distinct(), f"{aside}/versions")
         kept = _unlike(kept, shown).unionByName(shown)
     return kept.unionByName(marks)
 
 
+def _stored(log: DataFrame, path: str) -> DataFrame:
+    log.write.mode("overwrite").parquet(path)
+    return log.sparkSession.read.schema(MUTATIONS).parquet(path)
+
+
 def _unlike(log: DataFrame, others: DataFrame) -> DataFrame:
     """Rows that are not among stored others. They meet by one number, which sorts fast and never runs hot."""
     names = MUTATIONS.fieldNames()
