@@ -22,11 +22,12 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import id_and_text, stored
-from tagloom.llm.words import WordHasher, rolling
+from tagloom.llm.words import TextWords, rolling
 
 RANGES = "array<struct<start:int,end:int>>"
 
@@ -37,6 +38,7 @@ class PassageSettings:
     gram: int = 4  # words of an anchor
     load: int = 20_000  # anchor occurrences of one shard
     patterns: int = 50_000  # windows compiled into one automaton
+    piece: int = 1 << 22  # bytes of texts handled at once
 
 
 def sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -55,30 +57,82 @@ def window_anchors(words: np.ndarray, s: PassageSettings) -> tuple[np.ndarray, n
     return sliding(grams, s.window - s.gram + 1, np.minimum), grams
 
 
-def anchors_of(words: np.ndarray, s: PassageSettings) -> np.ndarray:
-    """Distinct anchors of a document; those at more than one place of it come twice."""
+def inside_text(text: np.ndarray, count: int) -> np.ndarray:
+    """Whether each window stays in one text, for the numbers of the texts of all words."""
+    return text[:count] == text[len(text) - count :]
+
+
+def anchors_of(words: np.ndarray, text: np.ndarray, s: PassageSettings) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct anchors of texts, and their texts; those at more than one place of a text come twice."""
     if len(words) < s.window:
-        return words[:0]
+        return text[:0], words[:0]
     low, grams = window_anchors(words, s)
+    low = np.where(inside_text(text, len(low)), low, np.uint64(0))
     wide = s.window - s.gram
     # A short run is an anchor if it is the smallest of some window around it.
     around = sliding(np.concatenate([low[:1].repeat(wide) * 0, low, low[:1].repeat(wide) * 0]), wide + 1, np.maximum)
-    values, times = np.unique(grams[around == grams], return_counts=True)
-    return np.repeat(values, np.minimum(times, 2))
-
-
-def stretches(words: np.ndarray, lanes: dict[int, tuple], s: PassageSettings) -> Iterator[tuple[tuple, int, np.ndarray]]:
-    """Maximal runs of windows whose anchors have the same lane: the lane, first word, words."""
-    low = window_anchors(words, s)[0].astype(np.int64)
-    starts = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-    of = [lanes.get(a) for a in low[starts].tolist()]
-    starts = [*starts.tolist(), len(low)]
-    first = 0
-    for i in range(1, len(of) + 1):
-        if i == len(of) or of[i] != of[first]:
-            if of[first] is not None:
-                yield of[first], starts[first], words[starts[first] : starts[i] + s.window - 1]
-            first = i
+    at = np.flatnonzero(around == grams)
+    at = at[np.lexsort((grams[at], text[at]))]
+    values, of = grams[at], text[at]
+    again = np.concatenate([[False], (values[1:] == values[:-1]) & (of[1:] == of[:-1])])[: len(at)]
+    kept = ~(again & np.concatenate([[False], again[:-1]])[: len(at)])
+    return of[kept], values[kept]
+
+
+def lane_of_runs(anchor: np.ndarray, text: np.ndarray, lane_anchor: np.ndarray, lane_text: np.ndarray) -> np.ndarray:
+    """Which lane each anchor of a text has, -1 for none."""
+    known = np.unique(lane_anchor)
+    place = np.minimum(np.searchsorted(known, anchor), len(known) - 1)
+    keys = lane_text * len(known) + np.searchsorted(known, lane_anchor)
+    order = np.argsort(keys, kind="stable")
+    wanted = text * len(known) + place
+    lane = order[np.minimum(np.searchsorted(keys, wanted, sorter=order), len(keys) - 1)]
+    return np.where((known[place] == anchor) & (keys[lane] == wanted), lane, -1)
+
+
+def stretches(
+    words: np.ndarray, text: np.ndarray, lane_text: np.ndarray, lane_anchor: np.ndarray, lane: tuple[np.ndarray, ...], s: PassageSettings
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of windows of a text whose anchors have the same lane: an entry of the lane, first words, ends."""
+    if len(words) < s.window or not len(lane_anchor):
+        return (np.empty(0, np.int64),) * 3
+    low = window_anchors(words, s)[0].view(np.int64)
+    at = np.flatnonzero(inside_text(text, len(low)))
+    low, of = low[at], text[at]
+    new = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (of[1:] != of[:-1])])[: len(at)])
+    found = lane_of_runs(low[new], of[new], lane_anchor, lane_text)
+    same = (found[1:] >= 0) & (found[:-1] >= 0) & (of[new[1:]] == of[new[:-1]])
+    for column in lane:
+        same &= column[found[1:]] == column[found[:-1]]
+    begins = np.flatnonzero((found >= 0) & ~np.concatenate([[False], same])[: len(new)])
+    ends = np.flatnonzero((found >= 0) & ~np.concatenate([same, [False]])[: len(new)])
+    last = np.append(new[1:], len(at))[ends] - 1
+    return found[begins], at[new[begins]], at[last] + s.window
+
+
+def cut_out(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Hashes of runs of words, as bytes."""
+    size = end - start
+    ends = np.concatenate([[0], np.cumsum(size)])
+    picked = words[np.arange(ends[-1]) + np.repeat(start - ends[:-1], size)]
+    return pa.Array.from_buffers(pa.binary(), len(start), [None, pa.py_buffer((8 * ends).astype(np.int32)), pa.py_buffer(picked)])
+
+
+def pieces(batches: Iterable[pa.RecordBatch], s: PassageSettings) -> Iterator[pa.RecordBatch]:
+    """Rows whose texts (the second column) have a bounded number of bytes, a longer text alone."""
+    for batch in batches:
+        size = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+        ends, lo = np.cumsum(size, dtype=np.int64), 0
+        while lo < len(ends):
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - size[lo] + s.piece, side="right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
+def texts_of_lists(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Number of the row of each entry of lists (null: empty), and the entries."""
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(len(lists)), size), lists.flatten()
 
 
 class Windows:
@@ -114,12 +168,12 @@ class Windows:
 
 
 def as_text(words: np.ndarray) -> str:
-    """Words as the letters an automaton reads, one per word, by six bits of the hash.
+    """Words as the letters an automaton reads, one per word, by three bits of the hash.
 
     Nodes of an automaton look for their children one by one, so a small
     alphabet keeps it fast; whole windows are confirmed by their 64-bit hash.
     """
-    return ((words >> np.uint64(58)).astype(np.uint8) + np.uint8(48)).tobytes().decode("latin-1")
+    return ((words >> np.uint64(61)).astype(np.uint8) + np.uint8(48)).tobytes().decode("latin-1")
 
 
 def automata(phrases: np.ndarray, s: PassageSettings) -> Iterator[ahocorasick.Automaton]:
@@ -127,8 +181,9 @@ def automata(phrases: np.ndarray, s: PassageSettings) -> Iterator[ahocorasick.Au
     for lo in range(0, len(phrases), s.patterns):
         text = as_text(phrases[lo : lo + s.patterns].ravel())
         automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-        for at in range(0, len(text), s.window):
-            automaton.add_word(text[at : at + s.window])
+        # In order, what two neighbours share is still at hand when it is looked for.
+        for phrase in sorted(text[at : at + s.window] for at in range(0, len(text), s.window)):
+            automaton.add_word(phrase)
         automaton.make_automaton()
         yield automaton
 
@@ -172,12 +227,11 @@ def repeated_ranges(docs: DataFrame, settings: PassageSettings = PassageSettings
     s = settings
 
     def anchor_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(fold=False)
-        for batch in batches:
-            found = [anchors_of(hasher.of(t.as_py()), s) for t in batch.column(1)]
-            flat = np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
-            ids = np.repeat(batch.column(0).to_numpy(), [len(a) for a in found])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(flat)], names=["id", "anchor"])
+        for batch in pieces(batches, s):
+            texts = TextWords(batch.column(1))
+            of, anchors = anchors_of(texts.hashes(), texts.text_of(), s)
+            ids = batch.column(0).to_numpy()[of]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(anchors.view(np.int64))], names=["id", "anchor"])
 
     usable = docs.where("id is not null")
     anchors = stored(usable.mapInArrow(anchor_rows, "id long, anchor long"), "anchors")
@@ -196,31 +250,25 @@ def repeated_ranges(docs: DataFrame, settings: PassageSettings = PassageSettings
     )
     shared = F.col("salts") == 0
     wanted = (
-        anchors.distinct().join(owned, "anchor")
+        anchors.join(owned, "anchor")
         .select("id", F.struct("anchor", F.when(shared, 0).otherwise(F.col("owner")).alias("owner"),
                                part.cast("int").alias("part"), (~shared).alias("hot")).alias("lane"))
-        .groupBy("id").agg(F.collect_list("lane").alias("lanes"))
+        .groupBy("id").agg(F.collect_set("lane").alias("lanes"))
     )
 
     def stretch_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(fold=False)
-        for batch in batches:
-            out: list[list] = [[], [], [], [], [], []]
-            lists = batch.column(2)
-            flat = [lists.flatten().field(k).to_pylist() for k in ("anchor", "owner", "part", "hot")]
-            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist()
-            for doc, text, lo, hi in zip(batch.column(0), batch.column(1), [0, *ends], ends, strict=False):
-                of = dict(zip(flat[0][lo:hi], zip(*(x[lo:hi] for x in flat[1:]), strict=True), strict=True))
-                words = hasher.of(text.as_py())
-                if len(words) < s.window:  # a further text under the same id
-                    continue
-                for lane, start, run in stretches(words, of, s):
-                    for column, value in zip(out, (*lane, doc.as_py(), start, run.tobytes()), strict=True):
-                        column.append(value)
-            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int32(), pa.binary())
+        for batch in pieces(batches, s):
+            texts = TextWords(batch.column(1))
+            of, lanes = texts_of_lists(batch.column(2))
+            anchor, *lane = (lanes.field(k).to_numpy(zero_copy_only=False) for k in ("anchor", "owner", "part", "hot"))
+            words, text = texts.hashes(), texts.text_of()
+            entry, start, end = stretches(words, text, of, anchor, tuple(lane), s)
+            row = text[start]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["owner", "part", "hot", "id", "start", "words"]
-            )
+                [*(pa.array(x[entry]) for x in lane), pa.array(batch.column(0).to_numpy()[row]),
+                 pa.array((start - texts.first[row]).astype(np.int32)), cut_out(words, start, end)],
+                names=["owner", "part", "hot", "id", "start", "words"],
+            )
 
     runs = stored(
         usable.join(wanted, "id").select("id", "text", "lanes").mapInArrow(
@@ -241,7 +289,7 @@ def repeated_ranges(docs: DataFrame, settings: PassageSettings = PassageSettings
     phrases = (
         hot.groupBy("owner", "part").applyInPandas(local_windows, "owner long, hash long, n long, id long, start int, words binary")
         .groupBy("owner", "hash").agg(F.sum("n").alias("n"), F.min(F.struct("id", "start", "words")).alias("first")).where("n > 1")
-        .join(owners, "owner")
+        .join(F.broadcast(owners.where("salts > 0")), "owner")  # at most one owner for every ``load`` occurrences
         .select(F.col("owner").alias("of_owner"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("of_part"),
                 F.lit(True).alias("of_hot"), "hash", "first.id", "first.start", "first.words")
     )
@@ -282,21 +330,16 @@ def drop_repeated(
     ranges = repeated_ranges(docs, s)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(fold=False)
-        for batch in batches:
-            total, removed, kept = [], [], []
-            for text, marked in zip(batch.column(1), batch.column(2), strict=True):
-                words = hasher.words(text.as_py())
-                total.append(len(words))
-                if marked.is_valid:
-                    gone = np.zeros(len(words), dtype=bool)
-                    for r in marked.as_py():
-                        gone[r["start"] : r["end"]] = True
-                    words = [words[i] for i in np.flatnonzero(~gone).tolist()]
-                removed.append(total[-1] - len(words))
-                kept.append(" ".join(words))
+        for batch in pieces(batches, s):
+            texts = TextWords(batch.column(1))
+            of, found = texts_of_lists(batch.column(2))
+            first, most = texts.first[of], texts.first[of + 1]
+            edges = (np.minimum(first + found.field(k).to_numpy(), most) for k in ("start", "end"))
+            begun, over = (np.bincount(x, minlength=len(texts.start) + 1) for x in edges)
+            gone = np.cumsum(begun - over)[:-1] > 0
+            removed = np.diff(np.concatenate([[0], np.cumsum(gone)])[texts.first])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                [batch.column(0), pa.array(np.diff(texts.first)), pa.array(removed), texts.joined(~gone)],
                 names=[id_col, "n_words", "n_removed", "kept"],
             )
 

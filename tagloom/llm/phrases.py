@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tagloom.llm.common import ascii_lower, stored
-from tagloom.llm.words import BASE, mix
+from tagloom.llm.words import BASE, mix, powers, prefix_sums
 
 # What ends a piece, what ends a word.
 STOPS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -75,21 +75,6 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base, dtype=np.uint64)
-    steps[0] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(steps)
-
-
-def prefix_sums(values: np.ndarray, up: np.ndarray) -> np.ndarray:
-    """Polynomials of all prefixes; that of a run is a difference times an inverse power."""
-    out = np.zeros(len(values) + 1, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        np.cumsum(values * up, out=out[1:])
-    return out
-
-
 @dataclass
 class Segment:
     """Bytes of a text from ``at``; phrases that start in the first ``own`` bytes count here."""

@@ -1,9 +1,13 @@
 import random
 import re
+import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tagloom.llm import passages as p
+from tagloom.llm.words import SHORT, TextWords
 
 
 def brute(texts):
@@ -49,3 +53,47 @@ def test_odd_rows(spark, odd, empty):
     long = next(r for r in rows if r.doc_id == 6)
     assert (long.n_words, long.n_removed, long.kept) == brute(["long word " * 30_000])[0]
     assert p.drop_repeated(empty).count() == 0
+
+
+def test_words_of_many_texts():
+    odd = ["", "a", "b a", " \t", "a\x0bb\r\n a ", "", "é\u2003x \x85 \xa0 日本 a", "y" * SHORT + " " + "y" * (SHORT + 1), "a", "ab ba ab  ", ""]
+    texts = pa.array(["left out", *odd, "left out"])
+    for array in (texts.slice(1, len(odd)), texts.cast(pa.large_string()).slice(1, len(odd)), texts.slice(1, 1), texts.slice(0, 0)):
+        words = [re.findall(r"[^\x20\x09-\x0d]+", t) for t in array.to_pylist()]
+        flat = [w for ws in words for w in ws]
+        got = TextWords(array)
+        assert np.diff(got.first).tolist() == [len(ws) for ws in words]
+        assert [got.raw[a:b].tobytes().decode() for a, b in zip(got.start, got.end, strict=True)] == flat
+        hashes = got.hashes().tolist()
+        assert len(set(hashes)) == len(set(flat)) == len(set(zip(hashes, flat, strict=True)))
+        for kept in (np.ones(len(flat), dtype=bool), np.arange(len(flat)) % 2 == 0, np.zeros(len(flat), dtype=bool)):
+            left = iter(kept.tolist())
+            assert got.joined(kept).to_pylist() == [" ".join([w for w in ws if next(left)]) for ws in words]
+
+
+def test_small_pieces_against_brute_force(spark, docs):
+    rng = random.Random(1)
+    known = [f"k{i}" for i in range(60)]
+    texts = [" ".join(known[rng.randrange(30) :] + [f"n{rng.random()}"] * (i % 3) + known[: rng.randrange(60)]) for i in range(40)]
+    got = p.drop_repeated(docs(*texts, ""), p.PassageSettings(piece=500, load=30)).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in got} == dict(enumerate(brute([*texts, ""])))
+
+
+def test_words_and_anchors_take_no_python_step_per_word():
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(10**5)}" for _ in range(500)) for _ in range(2000)]
+    array, s = pa.array(texts), p.PassageSettings()
+
+    def cpu(run):
+        begun = time.process_time()
+        run()
+        return time.process_time() - begun
+
+    def anchors():
+        words = TextWords(array)
+        assert len(p.anchors_of(words.hashes(), words.text_of(), s)[0]) > 2000
+
+    def scan():
+        return [re.findall(r"[^\x20\x09-\x0d]+", t) for t in texts]
+
+    assert min(cpu(anchors) for _ in range(3)) < 2 * min(cpu(scan) for _ in range(3))
